@@ -38,7 +38,7 @@ def matches_any_case(x: Column, pattern: str) -> Column:
 
 def full_lines(x: Column) -> Column:
     """Lines that aren't empty after trimming (FN-S7)."""
-    return F.filter(F.transform(F.split(x, "\\r?\\n"), F.trim), lambda line: line != "")
+    return F.filter(F.transform(F.split(x, "\\r?\\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def int_or(x: Column, default: int, prefix: bool = True) -> Column:

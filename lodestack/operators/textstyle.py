@@ -42,7 +42,7 @@ def tokens(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "[.!?。！？\\n]"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, "[.!?。！？\\n]"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def repetition(parts: Column) -> Column:
