@@ -5,12 +5,14 @@ so 4 * m minhashes serve m * m tables of four minhashes; with m = 10 two sets at
 a similarity of 0.75 miss all 100 tables once in 2,000 times, and share about
 thirty of them.
 
-Equal shingle sets are one node.  In each table bucket every node is compared
-with the bucket's smallest node, so a bucket of n gives n - 1 pairs.  After the
-components of these links are known, what is left are buckets that span several
-components: in small ones the pairs across components are compared; large ones
-are split by keys from a second set of minhashes first, then treated alike.
-Pairs are thinned by their minhashes, then confirmed on the full sets.
+Equal shingle sets are one node.  In each table bucket every node is compared by
+its minhashes with the bucket's smallest node, so a bucket of n gives n - 1
+pairs; likely pairs make clusters.  Buckets that span several clusters are then
+compared block by block, and of the likely pairs across clusters a spanning
+forest is kept.  So the clusters are the components of all likely pairs, though
+no more than a row a node and bucket is ever written.  Last, the full sets of
+each cluster come together, in bounded blocks, all its pairs are counted exactly,
+and a spanning forest of the links gives the components.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +31,9 @@ from .textwords import Words, mix, shingles
 
 #: Pairs of minhashes in each of the two collections.
 PAIRS = 10
-#: Minhashes at one level, and levels of bucket keys.
-HASHES, LEVELS = 4 * PAIRS, 2
-#: Buckets with more nodes than this are split by the next level's keys before pairs across components are listed.
-SMALL = 32
+HASHES = 4 * PAIRS
+#: Nodes of a bucket, and shingles of a cluster, on each side of a block.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 
 
 def similar_least(percent: int) -> int:
@@ -41,20 +43,20 @@ def similar_least(percent: int) -> int:
 
 
 def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id, n (distinct shingles), digest of the set (two numbers) and minhashes of every whole text."""
-    factor = mix(np.arange(1, HASHES * LEVELS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    """doc_id, n (distinct shingles), digest of the set (two numbers), minhashes and their low 16 bits of every whole text."""
+    factor = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     shift = mix(factor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_parts(batches):
             sets = shingles(Words(texts), size)
-            mins = np.zeros((len(sets), HASHES * LEVELS), np.uint64)
+            mins = np.zeros((len(sets), HASHES), np.uint64)
             first = np.zeros(len(sets), np.uint64)
             second = np.zeros(len(sets), np.uint64)
             for k, s in enumerate(sets):
                 if not len(s):
                     continue
-                low = np.full(HASHES * LEVELS, np.uint64(2**64 - 1))
+                low = np.full(HASHES, np.uint64(2**64 - 1))
                 for a in range(0, len(s), 4096):
                     np.minimum(low, ((s[a : a + 4096, None] ^ shift) * factor).min(axis=0), out=low)
                 mins[k] = low
@@ -62,10 +64,10 @@ def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
             n = np.array([len(s) for s in sets], np.int64)
             small = (mins >> np.uint64(32)).astype(np.uint32).view(np.int32)
             yield pa.record_batch(
-                [part.column(0), pa.array(n), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), list_array(small.ravel(), np.full(len(sets), HASHES * LEVELS), pa.int32())], ["doc_id", "n", "d1", "d2", "mins"]
+                [part.column(0), pa.array(n), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), list_array(small.ravel(), np.full(len(sets), HASHES), pa.int32()), pa.array([row.tobytes() for row in small.astype(np.uint16)], pa.binary())], ["doc_id", "n", "d1", "d2", "mins", "sketch"]
             )
 
-    return docs_of(docs).mapInArrow(run, "doc_id long, n long, d1 long, d2 long, mins array<int>")
+    return docs_of(docs).mapInArrow(run, "doc_id long, n long, d1 long, d2 long, mins array<int>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -79,23 +81,133 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return docs_of(docs).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _half(level: int, side: int) -> F.Column:
+def _half(side: int) -> F.Column:
     """The numbers of one collection: each from two minhashes."""
-    base = HASHES * level + 2 * PAIRS * side
+    base = 2 * PAIRS * side
     return F.array(*(F.xxhash64(F.col("mins")[base + 2 * i], F.col("mins")[base + 2 * i + 1], F.lit(i)) for i in range(PAIRS)))
 
 
-def table_keys(nodes: DataFrame, level: int, also: list[str] | None = None) -> DataFrame:
-    """key and id: each node's key in every table of a level (columns ``also`` go into the key)."""
-    also = also or []
-    kept = nodes.select("id", *also, _half(level, 0).alias("_a"), _half(level, 1).alias("_b"))
-    one = kept.select("id", *also, "_b", F.explode("_a").alias("_x"))
-    return one.select("id", *also, "_x", F.explode("_b").alias("_y")).select(F.xxhash64(*also, "_x", "_y").alias("key"), "id")
+def table_keys(nodes: DataFrame) -> DataFrame:
+    """key and id: each node's key in every table."""
+    one = nodes.select("id", _half(1).alias("_b"), F.explode(_half(0)).alias("_x"))
+    return one.select("id", "_x", F.explode("_b").alias("_y")).select(F.xxhash64("_x", "_y").alias("key"), "id")
+
+
+class Forest:
+    """Union-find over small numbers; ``edges`` has the pairs that joined two trees."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+        self.edges: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        a, b = self.root(x), self.root(y)
+        if a != b:
+            self.up[b] = a
+            self.edges.append((x, y))
+
+
+def _dealt(rows: DataFrame, whole: str, weight: F.Column, total: F.Column, most: int, groups: int) -> DataFrame:
+    """``rows`` with block numbers: units of ``whole`` with a total up to ``most`` share one of ``groups`` groups (i = j = 0); larger ones are cut into parts by the hash of id, and each pair of parts i <= j is a group of its own."""
+    parts = F.ceil(total / most).cast("int")
+    rows = rows.withColumn("_parts", F.greatest(parts, F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    group = F.when(F.col("_parts") == 1, F.pmod(F.xxhash64(whole), F.lit(groups))).otherwise(F.col(whole))
+    return rows.withColumns({"g": group, "cut": F.col("_parts") > 1, "i": F.least("own", "_other"), "j": F.greatest("own", "_other")}).drop("_parts", "_other")
+
+
+def _segments(values: np.ndarray) -> list[tuple[int, int]]:
+    cuts = (np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(values)], strict=True)) if len(values) else []
+
+
+def likely_across(rows: DataFrame, percent: int, total: int) -> DataFrame:
+    """A spanning forest (a, b) of the likely pairs of each key that lie in different clusters.
+
+    ``rows``: key, id, size (of the key), cluster, n and sketch; ``total`` of them.
+    """
+    least = similar_least(percent)
+    dealt = _dealt(rows, "key", F.lit(1), F.col("size"), BLOCK, 1 + total // BLOCK).select("g", "cut", "i", "j", "own", "key", "id", "cluster", "n", "sketch")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("key").combine_chunks()
+        key, ids, cluster, n, own = (group[c].to_numpy() for c in ("key", "id", "cluster", "n", "own"))
+        mins = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint16).reshape(-1, HASHES)
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        out: list[tuple[int, int]] = []
+        for a, b in _segments(key):
+            forest = Forest(b - a)
+            left = a + np.flatnonzero(own[a:b] == i)
+            right = a + np.flatnonzero(own[a:b] == j)
+            for at in range(0, len(left), 64):
+                part = left[at : at + 64]
+                ok = cluster[part][:, None] != cluster[right][None, :]
+                x, y = n[part][:, None], n[right][None, :]
+                ok &= 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+                if not ok.any():
+                    continue
+                alike = np.zeros(ok.shape, np.uint8)
+                for h in range(HASHES):
+                    alike += mins[part, h][:, None] == mins[right, h][None, :]
+                p, q = np.nonzero(ok & (alike >= least))
+                for u, v in zip(part[p].tolist(), right[q].tolist(), strict=True):
+                    forest.join(u - a, v - a)
+            out += [(int(ids[a + u]), int(ids[a + v])) for u, v in forest.edges]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return dealt.groupBy("g", "cut", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def links_in_clusters(rows: DataFrame, percent: int, total: int) -> DataFrame:
+    """A spanning forest (a, b) of the links in each cluster, by the full sets.
+
+    ``rows``: cluster, id, size (shingles of the cluster) and shingles; ``total``
+    shingles in all.  All pairs of a cluster are counted, none is listed.
+    """
+    dealt = _dealt(rows, "cluster", F.size("shingles"), F.col("size"), BLOCK_SHINGLES, 1 + total // BLOCK_SHINGLES).select("g", "cut", "i", "j", "own", "cluster", "id", "shingles")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("cluster", "ascending"), ("id", "ascending")]).combine_chunks()
+        cluster, ids, own = (group[c].to_numpy() for c in ("cluster", "id", "own"))
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        size = pc.list_value_length(group["shingles"]).to_numpy().astype(np.int64)
+        flat = np.concatenate([c.flatten().to_numpy() for c in group["shingles"].chunks])
+        start = np.cumsum(size) - size
+        out: list[tuple[int, int]] = []
+        for a, b in _segments(cluster):
+            lo, hi = int(start[a]), int(start[b - 1] + size[b - 1])
+            words, local = np.unique(flat[lo:hi], return_inverse=True)
+            first = start[a:b] - lo
+            forest = Forest(b - a)
+            mark = np.zeros(len(words), bool)
+            for x in np.flatnonzero(own[a:b] == i).tolist():
+                y0 = x + 1 if i == j else 0
+                if y0 >= b - a:
+                    continue
+                mine = local[first[x] : first[x] + size[a + x]]
+                mark[mine] = True
+                both = np.add.reduceat(mark[local[first[y0] :]].astype(np.int32), first[y0:] - first[y0])
+                mark[mine] = False
+                n_y = size[a + y0 : b]
+                ok = 100 * both >= percent * (size[a + x] + n_y - both)
+                if i != j:
+                    ok &= own[a + y0 : b] == j
+                for y in (np.flatnonzero(ok) + y0).tolist():
+                    forest.join(x, y)
+            out += [(int(ids[a + u]), int(ids[a + v])) for u, v in forest.edges]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return dealt.groupBy("g", "cut", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def shared_only(nodes: DataFrame) -> DataFrame:
     """Nodes whose number in the first collection is met twice at some place; the others share no table."""
-    rows = nodes.select("id", F.explode(_half(0, 0)).alias("_x"))
+    rows = nodes.select("id", F.explode(_half(0)).alias("_x"))
     twice = rows.groupBy("_x").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo < _hi").select("_x")
     met = stored(rows.join(twice, "_x").select("id").distinct(), "met")
     return nodes.join(met, "id")
@@ -117,55 +229,36 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     classes = sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"))
     member = stored(sig.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", F.coalesce("id", "doc_id").alias("id")), "members")
     all_nodes = sig.join(classes.where("id IS NOT NULL").select(F.col("id").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
-    all_nodes = all_nodes.dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("id"), "n", "mins")
+    all_nodes = all_nodes.dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("id"), "n", "mins", "sketch")
     nodes = stored(shared_only(stored(all_nodes, "nodes")), "nodes")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b: ids) that are linked."""
-        for end in ("a", "b"):
-            own = nodes.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.slice("mins", 1, HASHES).alias(f"m_{end}"))
-            pairs = pairs.join(own, end)
-        alike = F.size(F.filter(F.zip_with("m_a", "m_b", lambda x, y: x == y), lambda x: x))
-        likely = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (alike >= similar_least(percent))
-        pairs = stored(pairs.where(likely).select("a", "b").distinct(), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = stored(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), size), "sets")
-        for end in ("a", "b"):
-            pairs = pairs.join(sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"s_{end}")), end)
-        both = F.size(F.array_intersect("s_a", "s_b"))
-        return stored(pairs.where(100 * both >= percent * (F.size("s_a") + F.size("s_b") - both)).select("a", "b"), "links")
-
-    rows = table_keys(nodes, 0)
-    links, label = None, None
-    for level in range(LEVELS):
-        bucket = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("centre"), F.max("id").alias("_hi")).where("centre < _hi").drop("_hi")
-        bucket = stored(rows.join(bucket, "key"), "buckets")
-        if label is not None:  # star pairs within a component are known to be linked
-            named = label.select(F.col("id"), F.col("component"))
-            star = bucket.join(named, "id", "left").withColumn("component", F.coalesce("component", "id")).where("id != centre")
-            star = star.join(named.select(F.col("id").alias("centre"), F.col("component").alias("_c")), "centre", "left").where("component != coalesce(_c, centre)")
-        else:
-            star = bucket.where("id != centre")
-        found = confirmed(star.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
-        links = found if links is None else links.unionByName(found)
-        label = components(links)
-        named = bucket.join(label, "id", "left").select("key", "id", "size", F.coalesce("component", "id").alias("component"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("key")
-        mixed = stored(named.join(mixed, "key"), "mixed")
-        last = level == LEVELS - 1
-        small = mixed if last else mixed.where(F.col("size") <= SMALL)
-        other = small.select("key", F.col("id").alias("b"), F.col("component").alias("_c"))
-        across = small.join(other, "key").where("id < b AND component != _c").select(F.col("id").alias("a"), "b").distinct()
-        found = confirmed(across)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            label = components(links)
-        if last:
-            break
-        large = mixed.where(F.col("size") > SMALL).select("key", "id")
-        if large.isEmpty():
-            break
-        rows = table_keys(large.join(nodes, "id").select("id", "mins", F.col("key").alias("upper")), level + 1, ["upper"])
+    own = nodes.select("id", "n", "mins")
+
+    rows = table_keys(nodes)
+    bucket = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("centre"), F.max("id").alias("_hi")).where("centre < _hi").drop("_hi")
+    bucket = stored(rows.join(bucket, "key"), "buckets")
+    pairs = bucket.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(own.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("mins").alias(f"m_{end}")), end)
+    alike = F.size(F.filter(F.zip_with("m_a", "m_b", lambda x, y: x == y), lambda x: x))
+    likely = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (alike >= similar_least(percent))
+    pairs = stored(pairs.where(likely).select("a", "b"), "pairs")
+    cluster = components(pairs)
+
+    named = bucket.where("size > 2").join(cluster, "id", "left").select("key", "id", "size", F.coalesce("component", "id").alias("cluster"))  # in a bucket of two the pair was compared
+    mixed = named.groupBy("key").agg(F.min("cluster").alias("_lo"), F.max("cluster").alias("_hi")).where("_lo < _hi").select("key")
+    mixed = stored(named.join(mixed, "key"), "mixed")
+    sketches = nodes.select("id", "n", "sketch")
+    across = stored(likely_across(mixed.join(sketches, "id"), percent, mixed.count()), "across")
+    if not across.isEmpty():
+        cluster = components(pairs.unionByName(across))
+
+    sized = cluster.join(nodes.select("id", "n"), "id")
+    sized = stored(sized.join(sized.groupBy("component").agg(F.sum("n").alias("size")), "component").select("id", F.col("component").alias("cluster"), "size", "n"), "clusters")
+    total = sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sets = shingle_sets(docs.join(sized.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), size)
+    sets = sets.withColumnRenamed("doc_id", "id").join(sized.select("id", "cluster", "size"), "id")
+    label = components(stored(links_in_clusters(sets, percent, total), "links"))
 
     out = member.join(label, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
