@@ -62,7 +62,7 @@ class WordEncoder:
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.closes[i] = token.endswith(_WORD_END)
-        self.ends = {bytes([c]): self._encode_full([chr(c)])[0] for c in _ENDS}
+        self.ends = {bytes([c]): int(self._encode_full([chr(c)])[0][0]) for c in _ENDS}
         self.clear()
 
     def clear(self) -> None:
