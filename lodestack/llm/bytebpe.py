@@ -25,9 +25,9 @@ from .common import docs_of, list_array, text_parts
 from .tokens import _Numbered, _runs
 
 #: Distinct words that a worker keeps at most.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 #: Bytes of text whose words are replayed together.
-REPLAY_BYTES = 1 << 24
+REPLAY_BYTES = 1 << 22
 _NONE = np.int32(2**31 - 1)
 
 
