@@ -36,6 +36,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, car
     placed = placed.select("doc_id", "form", "place", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= least_chars)
     found = stored(placed.select("doc_id", "form", "place", F.xxhash64("key").alias("x"), F.xxhash64(F.lit(1), "key").alias("y")), "lines")
     keys = found.where("doc_id IS NOT NULL").groupBy("x", "y", "doc_id").agg(F.lit(1).alias("one")).groupBy("x", "y").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= least_docs).drop("n")
+    keys = stored(keys, "common-lines")  # so its size is known, and a line that many documents hold is a join side that Spark can split
     drop = found.join(keys, ["x", "y"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     drop = drop.groupBy("doc_id", "form").agg(F.collect_set("place").alias("drop"))  # a document's own lines at most
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("form").alias("_form"), "drop")
