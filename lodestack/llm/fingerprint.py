@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import docs_of
+from .common import docs_of, stored
 
 #: Hashes kept; the standard error of a resemblance r is sqrt(r * (1 - r) / K).
 K = 128
@@ -99,7 +99,8 @@ def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
     order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
     last = F.coalesce("doc_id", F.lit(-(1 << 63)))
     # Where a range ends, the next row is the head of the next range that has rows.
-    tops = docs.groupBy("range").agg(F.max(last).alias("top"))
+    # Stored, so that its size is known: while it is small no text is moved to find the heads.
+    tops = stored(docs.groupBy("range").agg(F.max(last).alias("top")), "tops")
     downward = Window.orderBy(F.desc("range"))  # one row for RANGE_ROWS documents
     after = tops.select("range", F.coalesce(F.lead("range").over(downward), F.first("range").over(downward)).alias("follows"))
     heads = docs.join(tops, (docs["range"] == tops["range"]) & (last == tops["top"])).select(docs["range"].alias("follows"), "text", F.row_number().over(Window.partitionBy(docs["range"]).orderBy(*order)).alias("place")).where("place = 1")
