@@ -1,9 +1,9 @@
 """MinHash near-duplicates with tensored banding.
 
 Two collections of m pairs of minhashes each are combined into m * m table keys,
-so 4 * m minhashes serve m * m tables of four minhashes; with m = 10 two sets at
-a similarity of 0.75 miss all 100 tables once in 2,000 times, and share about
-thirty of them.
+so 4 * m minhashes serve m * m tables of four minhashes; with m = 14 two sets at
+a similarity of 0.75 miss all 196 tables once in 50,000 times, and share about
+sixty of them.
 
 Equal shingle sets are one node.  In each table bucket every node is compared by
 its minhashes with the bucket's smallest node, so a bucket of n gives n - 1
@@ -30,16 +30,16 @@ from .graph import components
 from .textwords import Words, mix, shingles
 
 #: Pairs of minhashes in each of the two collections.
-PAIRS = 10
+PAIRS = 14
 HASHES = 4 * PAIRS
 #: Nodes of a bucket, and shingles of a cluster, on each side of a block.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 
 
 def similar_least(percent: int) -> int:
-    """Equal minhashes of HASHES below which a pair with that similarity comes once in 30,000 times or less: four standard deviations."""
+    """The fewest equal minhashes of HASHES for a likely pair: five standard deviations below the mean at that similarity, missed about once in a million times."""
     p = percent / 100
-    return max(1, int(HASHES * p - 4 * (HASHES * p * (1 - p)) ** 0.5))
+    return max(1, int(HASHES * p - 5 * (HASHES * p * (1 - p)) ** 0.5))
 
 
 def signatures(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -226,7 +226,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     """
     docs = docs_of(docs)
     sig = stored(signatures(docs, size), "signatures")
-    classes = sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id"))
+    # Stored, so that a set with many copies is a join side that Spark can split.
+    classes = stored(sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
     member = stored(sig.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", F.coalesce("id", "doc_id").alias("id")), "members")
     all_nodes = sig.join(classes.where("id IS NOT NULL").select(F.col("id").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
     all_nodes = all_nodes.dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("id"), "n", "mins", "sketch")
