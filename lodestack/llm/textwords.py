@@ -20,6 +20,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Bytes of words that are hashed together.
+_SEGMENT = 1 << 17
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64 bits over 64 bits, one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -44,11 +48,17 @@ class Words:
         sizes = np.array([len((t or "").encode()) + 1 for t in texts], np.int64)
         bounds = np.searchsorted(self.start, np.concatenate([[0], np.cumsum(sizes)]))
         self.counts = np.diff(bounds)
-        n = len(raw)
-        bits = max(16, n.bit_length())
-        low = _LOWER[self.data].astype(np.uint64) + np.uint64(1)
-        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low * _powers(bits, False)[:n])])
-        self.hash = mix((upto[self.end] - upto[self.start]) * _powers(bits, True)[self.start] + (self.end - self.start).astype(np.uint64))
+        self.hash = np.zeros(len(self.start), np.uint64)
+        at = 0
+        while at < len(self.start):  # in segments that fit a processor's cache; a word's hash doesn't depend on its place
+            base = self.start[at]
+            stop = max(at + 1, int(np.searchsorted(self.end, base + _SEGMENT, "right")))
+            low = _LOWER[self.data[base : self.end[stop - 1]]].astype(np.uint64) + np.uint64(1)
+            bits = max(17, len(low).bit_length())
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low * _powers(bits, False)[: len(low)])])
+            first, last = self.start[at:stop] - base, self.end[at:stop] - base
+            self.hash[at:stop] = mix((upto[last] - upto[first]) * _powers(bits, True)[first] + (last - first).astype(np.uint64))
+            at = stop
 
 
 def shingles(words: Words, size: int = 5) -> list[np.ndarray]:
