@@ -1,9 +1,9 @@
 """MinHash near-duplicates with tensored banding.
 
 Two collections of m pairs of minhashes each are combined into m * m table keys,
-so 4 * m minhashes serve m * m tables of four minhashes; with m = 14 two sets at
-a similarity of 0.75 miss all 196 tables once in 50,000 times, and share about
-sixty of them.
+so 4 * m minhashes serve m * m tables of four minhashes; with m = 12 two sets at
+a similarity of 0.75 miss all 144 tables once in 10,000 times, and share about
+forty-five of them.
 
 Equal shingle sets are one node.  In each table bucket every node is compared by
 its minhashes with the bucket's smallest node, so a bucket of n gives n - 1
@@ -30,7 +30,7 @@ from .graph import components
 from .textwords import Words, mix, shingles
 
 #: Pairs of minhashes in each of the two collections.
-PAIRS = 14
+PAIRS = 12
 HASHES = 4 * PAIRS
 #: Nodes of a bucket, and shingles of a cluster, on each side of a block.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
