@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, list_array, text_parts
+from .common import STORES, docs_of, list_array, text_parts
 from .tokens import _Numbered, _runs
 
 #: Distinct words that a worker keeps at most.
@@ -173,6 +173,9 @@ def replayer(path: str, pattern: str) -> MergeReplay:
     return MergeReplay.from_file(path, pattern)
 
 
+STORES["bytebpe"] = replayer.cache_clear
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every whole text; a null or empty text has an empty list.
 
@@ -182,7 +185,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = replayer(path, pattern)
-        for part, texts in text_parts(batches, REPLAY_BYTES):
+        for part, texts in text_parts(batches, REPLAY_BYTES, "bytebpe"):
             ids, counts = tool.encode(texts)
             yield pa.record_batch([part.column(0), list_array(ids, counts, pa.int32())], ["doc_id", "ids"])
 

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 BLANKS = " \t\n\x0b\x0c\r"
 
 #: Bytes of text that one numpy pass takes at a time.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +65,19 @@ def row_ranges(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         yield start, len(column)
 
 
-def text_parts(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Slices of the batches with the values of their column ``text``."""
+#: What a worker process keeps from task to task, by name, with what empties it.
+STORES: dict[str, Callable[[], object]] = {}
+
+
+def text_parts(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES, store: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of the batches with the values of their column ``text``.
+
+    Worker processes serve one operator after another, so whatever they keep for
+    others than ``store`` is let go first.
+    """
+    for name, empty in STORES.items():
+        if name != store:
+            empty()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index("text"))
         for a, b in row_ranges(column, limit):

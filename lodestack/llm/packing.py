@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import docs_of, stored, text_parts
 from .tokens import encoder
 
-#: Pieces of one length that are numbered together, about.
-GROUP_ROWS = 1 << 16
+#: Pieces of one length that are numbered together, about; a common length is dealt into groups.
+GROUP_ROWS = 1 << 9
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0) -> DataFrame:
@@ -36,7 +36,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for part, texts in text_parts(batches):
+        for part, texts in text_parts(batches, store="tokens"):
             ids, counts = enc.encode(texts)
             flat = np.full(len(ids) + len(counts), end_id, "<u4")
             ends = np.cumsum(counts + 1)
@@ -139,8 +139,8 @@ def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
     table = np.array(sorted(runs) or [(0, 0, 1, 0, 0)], np.int64)  # a few rows for each pattern
     first = table[:, 0] * (1 << 48) + table[:, 1]
 
-    groups = 1 + int(counts.sum()) // GROUP_ROWS
-    salted = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
+    groups = F.element_at(F.array(*(F.lit(1 + int(k) // GROUP_ROWS) for k in counts)), F.col("length").cast("int") + 1)
+    salted = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), groups).cast("int"))
     before = salted.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = before.select("length", "_group", (F.sum("_n").over(Window.partitionBy("length").orderBy("_group")) - F.col("_n")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("length", "_group").orderBy("doc_id", "piece")) - 1

@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
 
     found = labelled(docs, labels, label, sample_rows).select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")  # 2 * sample_rows rows
     y = found["label"].to_numpy()
-    return fit_rows([np.array(x, np.int64) for x in _arrays(found["features"])], y)
+    return fit_rows(list(_arrays(found["features"])), y)
 
 
 def _arrays(column: pa.ChunkedArray) -> Iterator[np.ndarray]:

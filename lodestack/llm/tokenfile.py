@@ -112,7 +112,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             return row
 
         full = 0
-        for part, texts in text_parts(batches):
+        for part, texts in text_parts(batches, store="tokens"):
             ids, counts = enc.encode(texts)
             at = 0
             for doc_id, n in zip(part.column(0).to_pylist(), counts.tolist(), strict=True):

@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 
+from .common import STORES
+
 #: Distinct words that a worker keeps at most.
 WORDS_KEPT = 600_000
 _ENDS = b".,;:!?"
@@ -149,3 +151,6 @@ class WordEncoder:
 def encoder(path: str) -> WordEncoder:
     """One encoder for each worker process and file."""
     return WordEncoder(path)
+
+
+STORES["tokens"] = encoder.cache_clear
