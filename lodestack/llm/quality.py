@@ -149,16 +149,17 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, rates: tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Fits on about ``sample_rows`` labelled rows of each class; without labels every score is 0.5."""
+    """Fits on about ``sample_rows`` labelled rows of each class, the curve at the classes' ratio in all labels; without labels every score is 0.5."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_parts(batches):
             feats, counts = features(texts)
             yield pa.record_batch([part.column(0), part.column(2), list_array(feats.astype(np.int32), counts, pa.int32())], ["doc_id", "label", "features"])
 
-    found = labelled(docs, labels, label, sample_rows).select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")  # 2 * sample_rows rows
+    rows, rates = labelled(docs, labels, label, sample_rows)
+    found = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")  # 2 * sample_rows rows
     y = found["label"].to_numpy()
-    return fit_rows(list(_arrays(found["features"])), y)
+    return fit_rows(list(_arrays(found["features"])), y, rates)
 
 
 def _arrays(column: pa.ChunkedArray) -> Iterator[np.ndarray]:

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """doc_id, text and label (0 or 1) of about ``rows`` documents of each class, by a hash of doc_id.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> tuple[DataFrame, tuple[float, float]]:
+    """doc_id, text and label (0 or 1) of about ``rows`` documents of each class, by a hash of doc_id; and the share of class 0 and 1 that was taken.
 
     Rows with a null text or label are left out.  If doc_id repeats in the
     labels, the larger label holds.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     per = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two numbers
-    share = F.lit(0)
-    for k, n in sorted(per.items()):
-        share = F.when(F.col("label") == k, int(min(1.0, rows / n) * (1 << 20))).otherwise(share)
+    taken = [max(1, int(min(1.0, rows / max(1, per.get(k, 0))) * (1 << 20))) for k in (0, 1)]
+    share = F.when(F.col("label") == 1, taken[1]).otherwise(taken[0])
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    return text.join(F.broadcast(chosen), "doc_id")  # 2 * rows numbers at most
+    return text.join(F.broadcast(chosen), "doc_id"), (taken[0] / (1 << 20), taken[1] / (1 << 20))  # 2 * rows numbers at most

@@ -252,8 +252,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
 
     Of near copies in the sample (equal smallest shingle hash) one counts, lest
     their common words pass for marks.  The lexicon comes from three quarters of
-    the rows, the curve from the rest.  Without labels of both classes the
-    lexicon is empty.
+    the rows, the curve from the rest, at the classes' ratio in all labels.
+    Without labels of both classes the lexicon is empty.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +261,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             sets = shingles(Words(texts))
             yield pa.record_batch([*(part.column(i) for i in range(3)), pa.array([int(x[0] >> np.uint64(1)) if len(x) else 0 for x in sets], pa.int64())], ["doc_id", "text", "label", "sign"])
 
-    signed = stored(labelled(docs, labels, label, sample_rows).select("doc_id", "text", "label").mapInArrow(sign, "doc_id long, text string, label int, sign long"), "toxic-sample")
+    rows, rates = labelled(docs, labels, label, sample_rows)
+    signed = stored(rows.select("doc_id", "text", "label").mapInArrow(sign, "doc_id long, text string, label int, sign long"), "toxic-sample")
     one = signed.groupBy("sign").agg(F.min("doc_id").alias("doc_id"))
     sample = signed.join(one, ["sign", "doc_id"]).select("doc_id", "text", "label", (F.pmod(F.xxhash64("sign"), F.lit(4)) == 3).alias("held"))
 
@@ -276,11 +277,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
         yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())], ["term", "clean", "toxic"])
 
     counted = sample.where("NOT held").mapInArrow(count, "term binary, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    rows = [(bytes(r["term"]), r["clean"], r["toxic"]) for r in counted.where((F.length("term") == 0) | (F.col("toxic") >= LEAST_DOCS)).collect()]  # from the bounded sample
-    totals = next(((c, t) for term, c, t in rows if not term), (0, 0))
+    found = [(bytes(r["term"]), r["clean"], r["toxic"]) for r in counted.where((F.length("term") == 0) | (F.col("toxic") >= LEAST_DOCS)).collect()]  # from the bounded sample
+    totals = next(((c, t) for term, c, t in found if not term), (0, 0))
     if not min(totals):
         return ToxicityModel({})
-    model = ToxicityModel(learn_lexicon([r for r in rows if r[0]], *totals))
+    model = ToxicityModel(learn_lexicon([r for r in found if r[0]], *totals))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # LEXICON words
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
     seen = sample.where("held").mapInArrow(measure, "best double, all double, label int").toArrow()  # of the bounded sample
     y = seen["label"].to_numpy().astype(float)
     if len(set(y.tolist())) == 2:
-        model.curve = fit_curve(np.column_stack([seen["best"].to_numpy(), seen["all"].to_numpy()]), y, np.ones(len(y)))
+        model.curve = fit_curve(np.column_stack([seen["best"].to_numpy(), seen["all"].to_numpy()]), y, np.where(y == 1, 1 / rates[1], 1 / rates[0]) * min(rates))
     return model
 
 

@@ -330,6 +330,15 @@ def test_held_out_accuracy(spark, edges, nothing, module, label, least):
     assert len({r["score"] for r in module.score(edges, unlabelled).collect()}) == 1
 
 
+@pytest.mark.parametrize(("module", "label"), [(quality, "quality"), (toxicity, "toxic")])
+def test_scores_keep_the_ratio_of_all_labels(spark, module, label):
+    """Six rows of class 1 to one of class 0, and texts that say nothing of their class: the larger class alone is capped."""
+    rng = np.random.default_rng(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in rng.integers(5000, size=12)), int(i % 7 > 0)) for i in range(2100)], f"doc_id long, text string, {label} int")
+    model = module.fit(docs, docs, sample_rows=300)
+    assert module.score(docs, model).agg(F.avg("score")).first()[0] == pytest.approx(6 / 7, abs=0.08)
+
+
 def test_hinge_dual_separates():
     rng = np.random.default_rng(0)
     rows = [np.array([0, 1 + k % 2, 3 + int(rng.integers(20))]) for k in range(80)]
