@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,8 +48,8 @@ def minimum_pages(questions: DataFrame, pages: DataFrame, most: int = 2) -> Data
     q = questions.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
     p = pages.select("page_id", F.explode(F.array_distinct("tokens")).alias("token"))
     shared = q.join(p, "token").groupBy("id", "page_id").agg(F.count("*").alias("overlap"))
-    best = shared.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("overlap")).alias("less"), "page_id"))), 1, most).alias("best"))
-    return best.select("id", F.posexplode("best").alias("place", "b")).select("id", (F.col("place") + 1).alias("place"), F.col("b.page_id").alias("page_id"), (-F.col("b.less")).alias("overlap"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("overlap"), "page_id"))
+    return shared.select("id", place.alias("place"), "page_id", "overlap").where(F.col("place") <= most)
 
 
 def lint_report(pages: DataFrame, edges: DataFrame) -> DataFrame:

@@ -180,12 +180,12 @@ def display_and_retention(spark, sf):
 @query("SORT-6", """WITH q AS (SELECT DISTINCT item_id AS id, unnest(list_filter(string_split(text, ' '), lambda x: length(x) >= 9)) AS t FROM benchmark), p AS (SELECT DISTINCT doc_id AS page_id, unnest(list_filter(string_split(text, ' '), lambda x: length(x) >= 9)) AS t FROM documents),
 o AS (SELECT id, page_id, count(*) AS overlap FROM q JOIN p USING (t) GROUP BY 1, 2) SELECT id, place, page_id, overlap FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, page_id) AS place FROM o) WHERE place <= 2""")
 def minimum_pages(spark, sf):
-    """For each benchmark passage the two documents that share most of its long words."""
+    """For each benchmark passage the two documents that share most of its words."""
     from ..operators.wiki import minimum_pages as best
 
-    long = lambda c: F.filter(F.split(c, " "), lambda x: F.char_length(x) >= 9)
-    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), long("text").alias("tokens"))
-    p = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), long("text").alias("tokens"))
+    words = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
+    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), words("text").alias("tokens"))
+    p = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), words("text").alias("tokens"))
     return best(q, p).withColumn("place", F.col("place").cast("long"))
 
 

@@ -24,6 +24,20 @@ def test_frontmatter_query_gives_all_outcomes(spark):
     assert {"Skill is valid!", "SKILL.md not found", "No YAML frontmatter found", "Name must be a string, got int"} <= set(rows)
 
 
+def test_minimum_pages_ranks_by_all_words(spark):
+    words = lambda t: {w for w in (t or "").split(" ") if w}
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    docs = [(r["doc_id"], words(r["text"])) for r in read("documents").select("doc_id", "text").collect()]
+    expected = set()
+    for r in read("benchmark").collect():
+        q = words(r["text"])
+        best = sorted((-len(q & w), i) for i, w in docs if q & w)[:2]
+        expected |= {(r["item_id"], place, i, -less) for place, (less, i) in enumerate(best, 1)}
+    rows = QUERIES["minimum_pages"].run(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["id"], r["place"], r["page_id"], r["overlap"]) for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
