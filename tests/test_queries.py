@@ -38,6 +38,18 @@ def test_minimum_pages_ranks_by_all_words(spark):
     assert len(rows) == len(expected)
 
 
+def test_missing_links_reads_all_orders(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    met = {}
+    for r in read("lineitem").select("l_orderkey", "l_suppkey").collect():
+        met.setdefault(r["l_orderkey"], set()).add(r["l_suppkey"])
+    pairs = {(a, b) for nodes in met.values() for a in nodes for b in nodes if a < b}
+    linked = {tuple(sorted((r["s_suppkey"], (r["s_suppkey"] + 1) % 50))) for r in read("supplier").select("s_suppkey").collect()}
+    rows = [tuple(r) for r in QUERIES["missing_links"].run(spark, "/root/testdata/sf0.01").select("src", "dst").collect()]
+    assert set(rows) == pairs - linked
+    assert len(rows) == len(pairs - linked)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
