@@ -185,7 +185,7 @@ class ToxicityModel:
         """Of each text: the best clause's score and the logarithm of 1 + the sum of all clauses' scores."""
         symbols = self.__dict__.setdefault("_symbols", None) or self.__dict__.update(_symbols=_Symbols(self.lexicon)) or self._symbols
         table, code_of = symbols.table, symbols.__getitem__
-        hits = np.array([kind in (INSULT, THREAT) for kind, _ in table])
+        hits, reporting = (np.array([kind in kinds for kind, _ in table]) for kinds in ((INSULT, THREAT), (REPORT,)))
         out = np.zeros((len(texts), 2))
         for k, text in enumerate(texts):
             words = _words(text)
@@ -193,15 +193,17 @@ class ToxicityModel:
             places = np.flatnonzero(hits[code >> 1])
             if not len(places):
                 continue
-            stops = np.flatnonzero(code & 1)
+            stops, reports = np.flatnonzero(code & 1), np.flatnonzero(reporting[code >> 1])
             best = total = 0.0
             for c in np.unique(np.searchsorted(stops, places)).tolist():
                 a = int(stops[c - 1]) + 1 if c else 0
                 b = int(stops[c]) + 1 if c < len(stops) else len(code)
                 near = places[np.searchsorted(places, a) : np.searchsorted(places, b)]
-                # A clause without stops may be long: only what is within reach of a match, or a report before it, can matter.
+                # A clause without stops may be long: only what is within reach of a match matters, and that a report stands anywhere before it.
                 a2, b2 = max(a, int(near[0]) - 64), min(b, int(near[-1]) + 64)
                 pairs = [table[i] for i in (code[a2:b2] >> 1).tolist()]
+                if np.searchsorted(reports, a) < np.searchsorted(reports, a2):
+                    pairs.insert(0, (REPORT, 0.0))
                 score = clause_score([p[0] for p in pairs], [p[1] for p in pairs])
                 best, total = max(best, score), total + score
             out[k] = best, math.log1p(total)

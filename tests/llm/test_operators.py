@@ -367,6 +367,17 @@ def test_toxic_clauses_end_with_lines():
     assert x[:, 0].tolist() == [2.0, 2.0, 1.0, 1.0, 0.0, 0.0]
 
 
+def test_reports_reach_through_long_clauses():
+    model = toxicity.ToxicityModel({b"scum": 2.0})
+    far = "word " * 100
+    texts = [f"he said {far}scum", f"{far}he said {far}{far}scum {far}scum", f"he said. {far}scum", f"{far}scum {far}he said", f"he said\n{far}scum"]
+    x = model.evidence(texts)
+    assert x[:, 0].tolist() == pytest.approx([1.4, 2.8, 2.0, 2.0, 2.0])
+    symbols = [toxicity.OTHER] * 200
+    symbols[3], symbols[150] = toxicity.REPORT, toxicity.INSULT
+    assert toxicity.clause_score(symbols, [2.0] * 200) == pytest.approx(1.4)
+
+
 # fingerprints
 
 
