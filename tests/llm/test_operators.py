@@ -196,7 +196,6 @@ def test_near_duplicates_edges(edges, nothing):
 
 def test_near_duplicates_hot_groups(spark, monkeypatch):
     """Groups of copies on both sides of the threshold, and a passage that most documents share; with small blocks."""
-    monkeypatch.setattr(neardup, "BLOCK", 16)
     monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 4000)
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(200)]
@@ -209,7 +208,36 @@ def test_near_duplicates_hot_groups(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
-def test_components(spark):
+def test_near_duplicates_around_the_threshold(spark):
+    """Pairs at 0.6 to 0.9 to their base and to each other: by tables, and exactly."""
+    rng = np.random.default_rng(8)
+    docs = []
+    for k in range(40):
+        base = [f"b{k}x{i}" for i in range(120)]
+        docs += [" ".join(base), *(edited(rng, base, s) for s in (0.015, 0.025, 0.03, 0.035, 0.05))]
+    rows = list(enumerate(docs))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    of = lambda got: {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got.collect()}
+    assert of(neardup.near_duplicates(df, exact=True)) == want
+    assert of(neardup.near_duplicates(df)) == want
+
+
+def test_prefix_join_alone_is_exact(spark):
+    """Every link between the sets is found without a table: the graph starts without links."""
+    rng = np.random.default_rng(9)
+    base = [f"b{i}" for i in range(100)]
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = [edited(rng, base, s) for s in np.repeat([0.02, 0.04, 0.06], 10)] + [f"{passage} " + " ".join(f"u{rng.integers(10**6)}" for _ in range(n)) for n in rng.integers(2, 20, 30)]
+    rows = list(enumerate(docs))
+    sets = neardup.shingle_sets(spark.createDataFrame(rows, "doc_id long, text string")).withColumnRenamed("doc_id", "id").withColumn("component", F.col("id"))
+    label = {r["id"]: r["component"] for r in graph.components(neardup.links_across(sets, 75)).collect()}
+    assert {i: label.get(i, i) for i, _ in rows} == {i: c for i, (_, c, _) in brute_components(rows).items()}
+
+
+@pytest.mark.parametrize("most", [0, 1 << 14])
+def test_components(spark, monkeypatch, most):
+    monkeypatch.setattr(graph, "TASK_EDGES", most)
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, None)] + [(300, k) for k in range(301, 340)]
     got = {r["id"]: r["component"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, **dict.fromkeys(range(300, 340), 300)}
