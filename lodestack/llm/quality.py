@@ -15,14 +15,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import docs_of, list_array, text_parts
+from .common import docs_of, list_array, release, stored, text_parts
 from .sampling import labelled
 from .textwords import Words, mix
 
 FEATURES = 1 << 18
 #: Rows of each class that the model is fitted on, about.
 SAMPLE_ROWS = 3000
+#: Features of these rows that come to the driver at most; beyond that rows are left out, those with the largest hash of doc_id first.
+SAMPLE_FEATURES = 1 << 25
 
 
 def _letter_table() -> np.ndarray:
@@ -149,7 +152,10 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, rates: tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Fits on about ``sample_rows`` labelled rows of each class, the curve at the classes' ratio in all labels; without labels every score is 0.5."""
+    """Fits on about ``sample_rows`` labelled rows of each class, the curve at the classes' ratio in all labels.
+
+    Rows with a null text or label are left out; without labels every score is 0.5.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_parts(batches):
@@ -157,9 +163,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
             yield pa.record_batch([part.column(0), part.column(2), list_array(feats.astype(np.int32), counts, pa.int32())], ["doc_id", "label", "features"])
 
     rows, rates = labelled(docs, labels, label, sample_rows)
-    found = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")  # 2 * sample_rows rows
-    y = found["label"].to_numpy()
-    return fit_rows(list(_arrays(found["features"])), y, rates)
+    found = stored(rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, features array<int>"), "quality-sample")
+    sizes = found.select("doc_id", F.xxhash64("doc_id").alias("h"), F.size("features").alias("n")).toArrow().sort_by("h")  # 2 * sample_rows rows, about
+    fits = np.cumsum(sizes["n"].to_numpy()) <= SAMPLE_FEATURES
+    if not fits.all():
+        last = sizes["h"][max(0, int(fits.sum()) - 1)].as_py()
+        found = found.where(F.xxhash64("doc_id") <= last)
+    got = found.toArrow().sort_by("doc_id")  # SAMPLE_FEATURES numbers at most
+    y = got["label"].to_numpy()
+    model = fit_rows(list(_arrays(got["features"])), y, rates)
+    release(found)
+    return model
 
 
 def _arrays(column: pa.ChunkedArray) -> Iterator[np.ndarray]:
