@@ -1,17 +1,21 @@
 """Best-fit packing by exact complements: token pieces into as few sequences as possible.
 
 Only the histogram of piece lengths, at most ``limit`` numbers, is planned on
-the driver.  Plan: take the longest length left, then fill its gap exactly by
-one, two or three lengths that are still to be had; where no such combination
-exists take the longest that fits and try again.  Each pattern found is applied
-as often as its scarcest length allows, so a plan has a few thousand patterns
-at any size of the corpus.  The pieces then find their places by their rank
-among the pieces of their length.
+the driver.  An index holds the sums of one, two and three lengths that are to be
+had.  From the longest length down, the gap beside it is filled exactly by a
+combination that the index has; where it has none the longest that fits goes in,
+and the rest of the gap is tried again.  Each pattern found is applied as often as
+its scarcest length allows.  The sequences that stay short of the limit are the
+residue: their pieces are packed once more, from the longest down, each into the
+open sequence with the smallest gap that it fits, and that is kept if it needs
+fewer sequences.  So a plan has a few thousand patterns at any size of the corpus.
+The pieces then find their places by their rank among the pieces of their length.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -57,63 +61,120 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int
     return docs_of(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
+class Sums:
+    """Index of the sums of one, two and three lengths with left[n] > 0, as bits of whole numbers.
+
+    Lengths only run out, so an old index has sums too many at most; it is built
+    anew when it was wrong.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.build()
+
+    def build(self) -> None:
+        some = np.flatnonzero(self.left).tolist()
+        every = (1 << len(self.left)) - 1
+        one = sum(1 << n for n in some)
+        two = three = 0
+        for n in some:
+            two |= one << n & every
+        for n in some:
+            three |= two << n & every
+        self.sums = (one, two, three)
+
+    def exactly(self, gap: int) -> list[int]:
+        """One, two or three lengths still to be had whose sum is the gap, few and large ones first; empty if there are none."""
+        for k in range(3):
+            if self.sums[k] >> gap & 1:
+                if found := self._search(k + 1, gap):
+                    return found
+                self.build()
+        return []
+
+    def _search(self, k: int, gap: int) -> list[int]:
+        left = self.left
+        if k == 1:
+            return [gap] if left[gap] else []
+        if k == 2:
+            high = np.arange(gap - 1, (gap - 1) // 2, -1)
+            ok = (left[high] > 0) & (left[gap - high] > 0)
+            if gap % 2 == 0 and left[gap // 2] < 2:
+                ok[-1:] = False
+            at = int(ok.argmax()) if ok.size else 0
+            return [int(high[at]), int(gap - high[at])] if ok.size and ok[at] else []
+        for n in np.flatnonzero(left[: gap - 1])[::-1].tolist():
+            if 3 * n < gap:
+                break
+            if self.sums[1] >> (gap - n) & 1:
+                left[n] -= 1
+                pair = self._search(2, gap - n)
+                left[n] += 1
+                if pair:
+                    return [n, *pair]
+        return []
+
+
 def plan(counts: np.ndarray, limit: int) -> list[tuple[list[int], int]]:
     """Patterns of lengths with the number of sequences made by each; counts[n] is the number of pieces of length n."""
     left = np.zeros(limit + 1, np.int64)
     left[: len(counts)] = counts
-    out = []
-    while (some := np.flatnonzero(left)).size:
-        pattern = [int(some[-1])]
-        left[pattern[0]] -= 1
-        gap = limit - pattern[0]
-        while gap:
-            found = _exact(left, gap)
-            if not found:
-                below = np.flatnonzero(left[: gap + 1])
-                if not below.size:
-                    break
-                found = [int(below[-1])]
-            for n in found:
-                left[n] -= 1
-            pattern += found
-            gap -= sum(found)
-        uses = Counter(pattern)
-        more = min(int(left[n]) // k for n, k in uses.items())
-        for n, k in uses.items():
-            left[n] -= more * k
-        out.append((pattern, 1 + more))
-    return out
-
-
-def _pair(have: np.ndarray, left: np.ndarray, total: int) -> list[int]:
-    """Two lengths with this sum, the larger as large as possible."""
-    high = np.arange(total - 1, (total - 1) // 2, -1)
-    ok = have[high] & have[total - high]
-    if total % 2 == 0 and left[total // 2] < 2:
-        ok[-1:] = False
-    at = int(ok.argmax()) if ok.size else 0
-    return [int(high[at]), int(total - high[at])] if ok.size and ok[at] else []
-
-
-def _exact(left: np.ndarray, gap: int) -> list[int]:
-    """One, two or three lengths still to be had whose sum is the gap; empty if there are none."""
-    if left[gap]:
-        return [gap]
-    have = left > 0
-    have[0] = False
-    if pair := _pair(have, left, gap):
-        return pair
-    for n in np.flatnonzero(have[: gap - 1])[::-1].tolist():
-        if 3 * n < gap:
-            break
-        left[n] -= 1
-        have[n] = left[n] > 0
-        pair = _pair(have, left, gap - n)
-        left[n] += 1
-        have[n] = True
-        if pair:
-            return [n, *pair]
-    return []
+    sums = Sums(left)
+    full, short = [], []
+    for longest in range(limit, 0, -1):
+        while left[longest]:
+            pattern, gap = [longest], limit - longest
+            left[longest] -= 1
+            while gap:
+                found = sums.exactly(gap)
+                if not found:
+                    below = np.flatnonzero(left[: gap + 1])
+                    if not below.size:
+                        break
+                    found = [int(below[-1])]
+                for n in found:
+                    left[n] -= 1
+                pattern += found
+                gap -= sum(found)
+            uses = Counter(pattern)
+            more = min(int(left[n]) // k for n, k in uses.items())
+            for n, k in uses.items():
+                left[n] -= more * k
+            (short if gap else full).append((pattern, 1 + more))
+    residue = np.zeros(limit + 1, np.int64)
+    for pattern, times in short:
+        np.add.at(residue, pattern, times)
+    return full + min(short, best_fit(residue, limit), key=lambda some: sum(times for _, times in some))
+
+
+def best_fit(counts: np.ndarray, limit: int) -> list[tuple[list[int], int]]:
+    """Patterns by best fit decreasing; sequences that look alike are handled together."""
+    opened: dict[int, list[tuple[list[int], int]]] = {}  # by gap: patterns and how many sequences have them
+    gaps: list[int] = []  # ascending
+
+    def put(pattern: list[int], times: int) -> None:
+        gap = limit - sum(pattern)
+        if times:
+            if gap not in opened:
+                insort(gaps, gap)
+            opened.setdefault(gap, []).append((pattern, times))
+
+    for n in np.flatnonzero(counts)[::-1].tolist():
+        k = int(counts[n])
+        while k and (at := bisect_left(gaps, n)) < len(gaps):
+            gap = gaps[at]
+            pattern, times = opened[gap].pop()
+            if not opened[gap]:
+                del opened[gap]
+                gaps.pop(at)
+            done = min(k, times)
+            put(pattern, times - done)
+            put([*pattern, n], done)
+            k -= done
+        whole, rest = divmod(k, limit // n)
+        put([n] * (limit // n), whole)
+        put([n] * rest, int(rest > 0))
+    return [x for group in opened.values() for x in group]
 
 
 def pack(pieces: DataFrame, limit: int = 2048) -> DataFrame:
