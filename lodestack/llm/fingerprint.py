@@ -11,15 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import docs_of, stored
+from .common import docs_of
 
 #: Hashes kept; the standard error of a resemblance r is sqrt(r * (1 - r) / K).
 K = 128
 _BITS = 48
 #: Rows of neighbouring doc_ids handled together, about.
-RANGE_ROWS = 512
-#: Equal ranges that the span of doc_ids is first cut into at most.
-MOST_RANGES = 4096
+RANGE_ROWS = 128
+#: Ranges of about as many rows that doc_ids are first cut into at most, and doc_ids sampled for each bound.
+MOST_RANGES, SAMPLE_IDS = 4096, 20
+_STEP, _WIDE = 64, 1 << 32
 
 
 def with_sketch(df: DataFrame, text: str, to: str, size: int = 5, k: int = K) -> DataFrame:
@@ -62,26 +63,67 @@ def as_text(sketch: F.Column) -> F.Column:
     return F.base64(F.unhex(F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 12, "0")), "")))
 
 
-def _ranges(docs: DataFrame) -> F.Column:
-    """A number that rises with doc_id, for about RANGE_ROWS rows each; -1 for a null doc_id.
+def _bounds(docs: DataFrame, n: int) -> list[int]:
+    """Ascending doc_ids that cut the rows into ranges of about equal size, from a sample; a doc_id with more rows than a range has one to itself."""
+    ranges = int(max(1, min(MOST_RANGES, n // RANGE_ROWS)))
+    known = docs.where("doc_id IS NOT NULL").select("doc_id")
+    share = SAMPLE_IDS * ranges / max(1, n)
+    ids = sorted((known if share >= 1 else known.sample(share, seed=11)).toArrow()["doc_id"].to_pylist())  # SAMPLE_IDS * MOST_RANGES numbers, about
+    cuts = [ids[len(ids) * k // ranges] for k in range(1, ranges)] if ids else []
+    often = {x for x, y in zip(cuts, cuts[1:], strict=False) if x == y}
+    return sorted({*cuts, *(x + 1 for x in often if x < (1 << 63) - 1)})
+
+
+def _place(x: F.Column, bounds: list[int]) -> F.Column:
+    """How many of the bounds are at most x, in two looks at some sixty bounds each."""
+    if not bounds:
+        return F.lit(0)
+    up_to = lambda some: F.size(F.filter(some, lambda b: b <= x))
+    coarse = up_to(F.array(*map(F.lit, bounds[::_STEP])))
+    fine = up_to(F.slice(F.array(*map(F.lit, bounds)), F.greatest(_STEP * (coarse - 1) + 1, F.lit(1)), F.lit(_STEP)))
+    return F.when(coarse == 0, F.lit(0)).otherwise(_STEP * (coarse - 1) + fine)
+
+
+def _turn(text: F.Column) -> F.Column:
+    """A number from 0 to 2 ** 63 - 1 that orders the rows of one doc_id."""
+    return F.shiftrightunsigned(F.xxhash64(text), 1)
 
-    The span of doc_ids is cut into equal ranges, and each of these again by its
-    count; only these counts, MOST_RANGES at most, come to the driver.
+
+def with_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``range``, a number that rises with doc_id (lowest: null), for about RANGE_ROWS rows each; and of each range that has rows, ``up``: the one before it in descending order, the lowest for the highest.
+
+    Ranges of one doc_id are cut by the hash of the text instead.  To the driver
+    come a sample of ids and two numbers for each of the first cuts.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    if not n:
-        return F.lit(-1).cast("long")
-    ranges = int(max(1, min(MOST_RANGES, n // RANGE_ROWS)))
-    width = max(1.0, (float(high) - float(low) + 1) / ranges)
-    place = (F.col("doc_id").cast("double") - float(low)) / width
-    first = F.least(F.floor(place), F.lit(ranges - 1)).cast("int")
-    counts = {r["r"]: r["n"] for r in docs.where("doc_id IS NOT NULL").groupBy(first.alias("r")).agg(F.count("*").alias("n")).collect()}
-    cuts = F.array(*(F.lit(1 + counts.get(i, 0) // RANGE_ROWS) for i in range(ranges)))
-    if max(counts.values()) < 2 * RANGE_ROWS:
-        return F.coalesce(first.cast("long"), F.lit(-1).cast("long"))
-    mine = F.element_at(cuts, first + 1)
-    second = F.greatest(F.lit(0), F.least(F.floor((place - first) * mine), mine - 1))
-    return F.coalesce(first.cast("long") * (1 << 32) + second, F.lit(-1).cast("long"))
+    n = docs.count()
+    bounds = _bounds(docs, n)
+    first = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_place(F.col("doc_id"), bounds)).cast("long")
+    counts = {r["r"]: r["n"] for r in docs.groupBy(first.alias("r")).agg(F.count("*").alias("n")).collect()}
+    lows, highs = [-(1 << 63), *bounds], [*bounds, (1 << 63) - 1]
+    cuts = {r: 1 + k // RANGE_ROWS for r, k in counts.items()}
+    if max(counts.values(), default=0) < 2 * RANGE_ROWS:
+        ranged = docs.withColumn("range", first * _WIDE)
+    else:
+        alone = [k for k in range(len(lows)) if highs[k] - lows[k] == 1] + [-1]
+        own = {r: c for r, c in cuts.items() if r in alone and c > 1}
+        if ends := docs.agg(F.min("doc_id"), F.max("doc_id")).first():
+            lows[0], highs[-1] = ends[0] if ends[0] is not None else 0, (ends[1] if ends[1] is not None else 0) + 1
+        of = lambda values: F.element_at(F.array(*(F.lit(v) for v in values)), (F.col("_r") + 1).cast("int"))
+        some = range(len(lows))
+        inside = (F.col("doc_id").cast("double") - of([float(x) for x in lows])) / of([float(max(1, highs[k] - lows[k])) for k in some])
+        mine = of([1 if k in own else cuts.get(k, 1) for k in some])
+        sub = F.when(F.col("_r") >= 0, F.greatest(F.lit(0), F.least(F.floor(inside * mine), mine - 1))).otherwise(F.lit(0))
+        for r, c in own.items():  # each has at least a range's share of all rows
+            by_text = (c - 1) - F.least(F.floor(_turn(F.col("text")) / float(1 << 63) * c), F.lit(c - 1))
+            sub = F.when(F.col("_r") == r, by_text).otherwise(sub)
+        ranged = docs.withColumn("_r", first).withColumn("range", F.col("_r") * _WIDE + sub.cast("long")).drop("_r")
+    group = F.floor(F.col("range") / _WIDE).cast("long")
+    lowest = {r["r"]: r["low"] for r in ranged.groupBy(group.alias("r")).agg(F.min("range").alias("low")).collect()}
+    order = sorted(lowest)
+    before = {r: lowest[order[(i + 1) % len(order)]] for i, r in enumerate(order)}  # of the first range of each group
+    last = F.element_at(F.map_from_arrays(F.array(*(F.lit(r).cast("long") for r in order)), F.array(*(F.lit(before[r]).cast("long") for r in order))), group) if order else F.lit(0).cast("long")
+    each = ranged.select("range").distinct()
+    return ranged, each.withColumn("up", F.coalesce(F.lag("range").over(Window.partitionBy(group).orderBy(F.desc("range"))), last))
 
 
 def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
@@ -92,22 +134,19 @@ def fingerprint_edits(docs: DataFrame, k: int = K) -> DataFrame:
     counts as smallest.  The edited text has the last floor(n / 2) code points
     replaced by the first as many of the next text.  Null texts count as empty.
     Columns: doc_id, n_chars, edited, sketch, edited_sketch, next_sketch.  A
-    single row is its own next.  An empty table gives no row.
+    single row is its own next.  An empty table gives no row.  Rows that agree
+    in doc_id and text stay in one range, however many they are.
     """
     docs = docs_of(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("range", _ranges(docs))
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
-    last = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    # Where a range ends, the next row is the head of the next range that has rows.
-    # Stored, so that its size is known: while it is small no text is moved to find the heads.
-    tops = stored(docs.groupBy("range").agg(F.max(last).alias("top")), "tops")
-    downward = Window.orderBy(F.desc("range"))  # one row for RANGE_ROWS documents
-    after = tops.select("range", F.coalesce(F.lead("range").over(downward), F.first("range").over(downward)).alias("follows"))
-    heads = docs.join(tops, (docs["range"] == tops["range"]) & (last == tops["top"])).select(docs["range"].alias("follows"), "text", F.row_number().over(Window.partitionBy(docs["range"]).orderBy(*order)).alias("place")).where("place = 1")
-    heads = with_sketch(heads.select("follows", F.col("text").alias("head")), "head", "head_sketch", k=k).join(after, "follows").drop("follows")
-
-    mine = with_sketch(docs.repartition("range"), "text", "sketch", k=k)
+    docs, ranges = with_ranges(docs)
+    order = [F.desc_nulls_last("doc_id"), _turn(F.col("text")), F.col("text")]
     inside = Window.partitionBy("range").orderBy(*order)
+    dealt = docs.repartition("range")  # moved once: both branches read this exchange
+    # Where a range ends, the next row is the head of the range that has this one as ``up``.
+    heads = dealt.withColumn("place", F.row_number().over(inside)).where("place = 1").select("range", F.col("text").alias("head")).join(ranges, "range")
+    heads = with_sketch(heads.select(F.col("up").alias("range"), "head"), "head", "head_sketch", k=k)
+
+    mine = with_sketch(dealt, "text", "sketch", k=k)
     mine = mine.withColumns({"next": F.lead("text").over(inside), "next_sketch": F.lead("sketch").over(inside)}).join(heads, "range", "left")
     mine = mine.withColumns({"next": F.coalesce("next", "head"), "next_sketch": F.coalesce("next_sketch", "head_sketch"), "n_chars": F.char_length("text").cast("long")})
     moved = F.floor(F.col("n_chars") / 2).cast("int")
