@@ -4,8 +4,9 @@ A block holds whole documents: a header, the documents' ids and token counts,
 then every token id in the fewest bits that the vocabulary needs, one after
 another, and a checksum.  Token k of a block starts at bit k * width of its
 payload, so any range is unpacked by one gather.  Blocks are the rows of a
-Parquet table in ascending document order, by shard and block; so writes are
-committed whole, by any store that Spark writes to, and a lost task's half
+Parquet table in ascending document order, by shard and block, with their first
+and last doc_id, so that a reader of some documents skips the other blocks; writes
+are committed whole, by any store that Spark writes to, and a lost task's half
 written blocks are never seen.
 """
 
@@ -29,6 +30,8 @@ _HEAD = struct.Struct("<4sHBxIQ")  # magic, version, bits of an id, documents, t
 VERSION = 1
 #: A block is closed when it has so many tokens; a longer document is a block of its own.
 BLOCK_TOKENS = 1 << 16
+#: Ids whose bits are spread out at a time, a multiple of eight.
+PACKED_AT_ONCE = 1 << 15
 
 
 def width_of(vocabulary: int) -> int:
@@ -40,8 +43,11 @@ def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """The ids' low ``width`` bits (1 to 32), least significant first."""
     if width in (8, 16, 32):
         return ids.astype(f"<u{width // 8}").tobytes()
-    bits = (ids.astype(np.uint64)[:, None] >> np.arange(width, dtype=np.uint64)).astype(np.uint8) & 1
-    return np.packbits(bits.ravel(), bitorder="little").tobytes()
+    out, places = [], np.arange(width, dtype=np.uint32)
+    for a in range(0, len(ids), PACKED_AT_ONCE):
+        bits = (ids[a : a + PACKED_AT_ONCE].astype(np.uint32)[:, None] >> places & 1).astype(np.uint8)
+        out.append(np.packbits(bits.ravel(), bitorder="little").tobytes())
+    return b"".join(out)
 
 
 def unpack_bits(data: bytes | memoryview, width: int, start: int, count: int) -> np.ndarray:
@@ -93,7 +99,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     """Writes the blocks of all documents, ids and an end id each, in ascending doc_id order.
 
     Null texts count as empty; null doc_ids come first; rows of one doc_id are
-    ordered by text.  An empty table gives a file without blocks.
+    ordered by the text's hash.  An empty table gives a file without blocks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +112,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
 
         def close() -> pa.RecordBatch:
             nonlocal number, before, names, held, sizes
-            ids, counts = np.concatenate(held), np.array(sizes, np.int64)
-            row = pa.record_batch([pa.array([shard], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([make_block(names, counts, ids, width)], pa.binary())], ["shard", "block", "before", "tokens", "data"])
+            ids, counts, known = np.concatenate(held), np.array(sizes, np.int64), [i for i in names if i is not None]
+            row = pa.record_batch([pa.array([shard], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([min(known, default=None)], pa.int64()), pa.array([max(known, default=None)], pa.int64()), pa.array([make_block(names, counts, ids, width)], pa.binary())], ["shard", "block", "before", "tokens", "first_id", "last_id", "data"])
             number, before, names, held, sizes = number + 1, before + len(ids), [], [], []
             return row
 
@@ -116,6 +122,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             ids, counts = enc.encode(texts)
             at = 0
             for doc_id, n in zip(part.column(0).to_pylist(), counts.tolist(), strict=True):
+                if names and n + 1 >= block_tokens:
+                    yield close()
+                    full = 0
                 names.append(doc_id)
                 held.append(np.append(ids[at : at + n], np.int32(end_id)))
                 sizes.append(n + 1)
@@ -126,12 +135,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
         if names:
             yield close()
 
-    ordered = docs_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, "shard int, block long, before long, tokens long, data binary").write.option("compression", "none").parquet(path)
+    turn = F.xxhash64("text")  # so that the rows of one doc_id need not go to one task
+    ordered = docs_of(docs).repartitionByRange("doc_id", turn).sortWithinPartitions("doc_id", turn, "text")
+    ordered.mapInArrow(run, "shard int, block long, before long, tokens long, first_id long, last_id long, data binary").write.option("compression", "none").parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """Per document, from the blocks: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids."""
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True, between: tuple[int, int] | None = None) -> DataFrame:
+    """Per document, from the blocks: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids.
+
+    ``between``: the documents with these doc_ids and those between alone; other blocks are not read.
+    """
     blocks = spark.read.parquet(path)
     totals = {r["shard"]: r["n"] for r in blocks.groupBy("shard").agg(F.sum("tokens").alias("n")).collect()}  # one number a shard file
     before, at = {}, 0
@@ -151,4 +164,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                     cols.append(pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))))
                 yield pa.record_batch(cols, ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
 
-    return blocks.select("shard", "before", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    if between:
+        blocks = blocks.where((F.col("last_id") >= between[0]) & (F.col("first_id") <= between[1]))
+    out = blocks.select("shard", "before", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return out.where(F.col("doc_id").between(*between)) if between else out
