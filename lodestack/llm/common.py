@@ -99,6 +99,21 @@ def docs_of(df: DataFrame, text: bool = True) -> DataFrame:
     return df.select(*cols, F.col("text").cast("string").alias("text")) if text else df.select(*cols)
 
 
+def _quoted(name: str) -> F.Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def folded(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and ``rest``: all columns but the text as one, under names of its own, so that none can clash."""
+    rest = F.struct(F.lit(0).alias("c"), *(_quoted(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
+
+
+def unfolded(rows: DataFrame, columns: list[str], **new: F.Column) -> DataFrame:
+    """The columns that were folded, in their order; ``new`` has those with other values."""
+    return rows.select(*(new.get(c, F.col("text") if c == "text" else F.col("rest")[f"c{i}"]).alias(c) for i, c in enumerate(columns)))
+
+
 def row_ranges(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` bytes of text each, one row at least."""
     start, size = 0, 0
@@ -151,6 +166,6 @@ def list_array(values, counts, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def fold(n: int, salt: str = "") -> F.Column:
-    """crc32 of doc_id as text, modulo n: the split into learned and held-out rows."""
+def fold(n: int) -> F.Column:
+    """crc32 of doc_id as text, modulo n: the split into learned and held-out rows; null for a null doc_id, which is neither."""
     return F.crc32(F.col("doc_id").cast("string")) % n

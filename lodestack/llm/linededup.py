@@ -30,7 +30,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, car
     it isn't counted, but loses lines like the others.  Of the other columns those in
     ``carry`` stay, the rest are left out.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(F.lit(0).alias("c"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))).alias("carried"))
     rows = rows.withColumn("lines", F.split("text", "\n", -1)).select("doc_id", "carried", "lines", F.xxhash64("text").alias("form"))  # form tells texts of one doc_id apart
     placed = rows.select("doc_id", "form", F.posexplode("lines").alias("place", "line"))
     placed = placed.select("doc_id", "form", "place", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= least_chars)
@@ -44,4 +44,4 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, car
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
     kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.get("lines", i)))
     joined = joined.select("doc_id", "carried", "lines", kept.alias("kept"))
-    return joined.select("doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"), *(F.col("carried")[c].alias(c) for c in carry))
+    return joined.select("doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"), *(F.col("carried")[f"c{i}"].alias(c) for i, c in enumerate(carry)))

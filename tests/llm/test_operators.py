@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from lodestack.llm import bytebpe, embeddup, fingerprint, graph, langid, linededup, neardup, packing, quality, textwords, tokenfile, tokens, toxicity
 from lodestack.llm.common import fold, table
+from lodestack.llm.sampling import bound, within
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -77,6 +78,37 @@ def test_plan_uses_every_piece_once(lengths):
         for n in pattern:
             used[n] += times
     assert (used == counts).all()
+    assert sum(times for _, times in packing.plan(counts, 40)) <= best_fit_one_by_one(lengths, 40) + 1
+
+
+def best_fit_one_by_one(lengths, limit):
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= n]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else limit) - n)
+    return len(gaps)
+
+
+@given(hs.lists(hs.integers(1, 60), max_size=80))
+@settings(max_examples=60, deadline=None)
+def test_best_fit_equals_one_by_one(lengths):
+    counts = np.bincount(lengths, minlength=61) if lengths else np.zeros(61, int)
+    assert sum(times for _, times in packing.best_fit(counts, 60)) == best_fit_one_by_one(lengths, 60)
+
+
+@given(hs.lists(hs.integers(1, 30), max_size=25), hs.integers(1, 60))
+@settings(max_examples=100, deadline=None)
+def test_sums_find_every_combination(lengths, gap):
+    from itertools import combinations
+
+    left = np.bincount(lengths, minlength=61) if lengths else np.zeros(61, int)
+    sums = packing.Sums(left)
+    found = sums.exactly(gap)
+    least = next((k for k in (1, 2, 3) if any(sum(c) == gap for c in combinations(lengths, k))), 0)
+    assert len(found) == least
+    assert not found or sum(found) == gap
 
 
 def test_plan_fills_gaps_exactly():
@@ -91,7 +123,8 @@ def test_plan_fills_gaps_exactly():
 
 
 @pytest.mark.parametrize("width", [1, 3, 8, 13, 16, 17, 32])
-def test_bits_round_trip(width):
+def test_bits_round_trip(width, monkeypatch):
+    monkeypatch.setattr(tokenfile, "PACKED_AT_ONCE", 64)
     ids = np.random.default_rng(width).integers(0, 1 << width, 777).astype(np.uint32)
     data = tokenfile.pack_bits(ids, width)
     assert len(data) == math.ceil(777 * width / 8)
@@ -115,6 +148,9 @@ def test_token_files_round_trip(spark, edges, nothing, tmp_path):
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids"]) == (i, at, len(ids), ids)
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         at += len(ids)
+    assert tokenfile.read_tokens(spark, str(tmp_path / "t"), between=(4, 6)).orderBy("doc_id").collect() == [r for r in rows if r["doc_id"] in (4, 5, 6)]
+    blocks = spark.read.parquet(str(tmp_path / "t"))
+    assert blocks.where("first_id = 10 AND last_id = 10 AND tokens > 500").count() == 1  # a long document is a block of its own
     tokenfile.write_tokens(nothing, str(tmp_path / "e"), WORD)
     assert tokenfile.read_tokens(spark, str(tmp_path / "e")).count() == 0
 
@@ -270,27 +306,55 @@ def brute_links(rows, least=0.98):
 
 def test_embeddings_hot_group_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(embeddup, "BLOCK", 32)
-    monkeypatch.setattr(embeddup, "CELL_ROWS", 20)
+    monkeypatch.setattr(embeddup, "PAIR_COST", 3.0)  # as if cells were large: many codewords
     rng = np.random.default_rng(2)
     centre = rng.normal(size=16)
     rows = [(i, rng.normal(size=16).tolist(), int(i % 3)) for i in range(200)]
     rows += [(1000 + i, (centre + rng.normal(size=16) * rng.choice([0.05, 0.12, 0.2])).tolist(), 1) for i in range(150)]
     rows += [(2000 + i, centre.tolist(), int(i % 2)) for i in range(30)] + [(2100, (3 * centre).tolist(), 1)]
     rows += [(3000, None, 1), (3001, [0.0] * 16, 1), (3002, [float("nan")] * 16, 1), (3003, [None, *[1.0] * 15], 1), (3004, centre.tolist(), None), (3005, [], 1), (3006, [1.0, 2.0], 1), (3007, [float("inf")] * 16, 1)]
+    rows += [(4000 + i, [1.0, 2.0 + 0.05 * i], 1) for i in range(5)] + [(4100, [-3.0], 1), (4101, [-7.0], 1), (4102, [2.0], 1)]  # other lengths
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("id", F.lit("x")).withColumn("weight", F.lit(1))
-    got = embeddup.embedding_duplicates(df, reach=None)
+    got = embeddup.embedding_duplicates(df)
     assert sorted(tuple(r) for r in got.collect()) == brute_links(rows)
     assert embeddup.embedding_duplicates(df.where("false")).count() == 0
-    assert embeddup.embedding_duplicates(df.where("vec_id >= 3000")).where("n_links > 0").count() == 0
+    assert embeddup.embedding_duplicates(df.where("vec_id BETWEEN 3000 AND 3005 OR vec_id = 3007")).where("n_links > 0").count() == 0
+
+
+def cloud(dims, inner, n, seed):
+    """Unit vectors around the points of a surface of ``inner`` dimensions, with links at all cosines around 0.98."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(n, inner)) @ rng.normal(size=(inner, dims))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=(n, inner)) @ rng.normal(size=(inner, dims)) if inner < dims else rng.normal(size=(n, dims))
+    near = base + side / np.linalg.norm(side, axis=1, keepdims=True) * rng.uniform(0.02, 0.25, (n, 1))
+    return [(i, v.tolist(), i % 2) for i, v in enumerate(np.concatenate([base, near]).astype(np.float32))]
 
 
-def test_embedding_recall_on_the_table(spark):
+@pytest.mark.parametrize(("dims", "inner"), [(64, 64), (64, 2), (64, 3), (8, 8), (1, 1)])
+def test_all_links_of_a_cloud_are_found(spark, monkeypatch, dims, inner):
+    monkeypatch.setattr(embeddup, "PAIR_COST", 3.0)
+    rows = cloud(dims, inner, 300, 7)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(tuple(r) for r in embeddup.embedding_duplicates(df).collect())
+    assert got == brute_links(rows)
+    some = sorted(tuple(r) for r in embeddup.embedding_duplicates(df, recall=0.95).collect())
+    assert sum(r[1] for r in some) >= 0.9 * sum(r[1] for r in got)
+    assert all(x[1] <= y[1] for x, y in zip(some, got, strict=True))
+
+
+def test_index_has_many_cells_where_they_help():
+    rng = np.random.default_rng(1)
+    tight = embeddup.normalised(rng.normal(size=(40, 64))[rng.integers(40, size=4000)] + 0.01 * rng.normal(size=(4000, 64)))
+    index = embeddup.Index(tight, 100_000, 0.98, 1.0)
+    assert index.size >= 8
+    assert np.mean([len(c) for _, c in index.cells(tight[:200])]) < 0.25 * index.size**2
+
+
+def test_embeddings_of_the_table(spark):
     df = table(spark, SF, "embeddings")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
-    got = sorted(tuple(r) for r in embeddup.embedding_duplicates(df).collect())
-    want = brute_links(rows)
-    assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in want)
-    assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
+    assert sorted(tuple(r) for r in embeddup.embedding_duplicates(df).collect()) == brute_links(rows)
 
 
 def test_cells_are_visited_in_order():
@@ -344,6 +408,50 @@ def test_language(spark, edges, nothing):
     assert {r["lang_pred"] for r in langid.predict(edges, empty).collect()} == {"und"}
 
 
+def brute_buckets(text, buckets=langid.BUCKETS):
+    """The bucket of each n-gram with a letter, one by one."""
+    code = [32, *(ord(c) if c.isalpha() else 32 for c in text.lower()), 32, 32]
+    out = []
+    for i in range(len(code) - 2):
+        h = 0
+        for n in range(3):
+            h = ((h ^ code[i + n]) * 0x01000193 + 0x9E3779B1) & 0xFFFFFFFF
+            if any(c != 32 for c in code[i : i + n + 1]):
+                out.append((((h ^ (h >> 15) if n else h) * 0x85EBCA6B & 0xFFFFFFFF) >> 16) % buckets)
+    return out
+
+
+def test_language_equals_brute_force(spark):
+    texts = [("en", "the cat sat on the mat"), ("en", "It's 12 cats!"), ("de", "die katze saß auf der matte"), ("de", "Äpfel und Birnen"), ("xx", "𠀀𠀁 𠀀"), ("xx", "")]
+    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    for numbers in (langid.MATRIX_NUMBERS, 3000):
+        buckets = min(langid.BUCKETS, numbers // 3)
+        model = langid.fit(df, numbers=numbers)
+        names = ["de", "en", "xx"]
+        count = {x: Counter(b for y, t in texts if y == x for b in brute_buckets(t, buckets)) for x in names}
+        for text in ["cat and katze", "𠀁", "äÄß the 𠀀 x²", "½ ² Ⅷ 12 !", ""]:
+            total = [math.log(1 / 3) + sum(math.log((count[x][b] + 0.5) / (count[x].total() + 0.5 * buckets)) for b in brute_buckets(text, buckets)) for x in names]
+            lang, score = model.predict([text])
+            if any(c.isalpha() for c in text):
+                assert lang == [names[int(np.argmax(total))]]
+                assert score[0] == pytest.approx(1 / sum(math.exp(t - max(total)) for t in total), abs=1e-3)
+            else:
+                assert (lang[0], score[0]) == ("und", 0.0)
+
+
+def test_language_learns_every_language(spark):
+    letters = [chr(0x4E00 + 7 * i) for i in range(400)]
+    df = spark.createDataFrame([(i, f"{x}{x} {x}", f"l{i:03}") for i, x in enumerate(letters)], "doc_id long, text string, lang string")
+    assert all(r["lang"] == r["lang_pred"] for r in langid.predict(df, langid.fit(df)).join(df.select("doc_id", "lang"), "doc_id").collect())
+
+
+def test_samples_of_huge_tables(spark):
+    """A share of a few rows in 10 ** 13 is still more than none."""
+    assert bound(4000 / 1e13) > 3e9
+    assert spark.range(1000).where(within("id", F.lit(bound(1.0)))).count() == 1000
+    assert 350 < spark.range(1000).where(within("id", F.lit(bound(0.4)))).count() < 450
+
+
 @pytest.mark.parametrize(("module", "label", "least"), [(quality, "quality", 0.99), (toxicity, "toxic", 0.97)])
 def test_held_out_accuracy(spark, edges, nothing, module, label, least):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
@@ -367,6 +475,47 @@ def test_scores_keep_the_ratio_of_all_labels(spark, module, label):
     assert module.score(docs, model).agg(F.avg("score")).first()[0] == pytest.approx(6 / 7, abs=0.08)
 
 
+def test_hinge_dual_reaches_the_optimum():
+    """The primal and dual objectives meet, and no small step from the weights lowers the primal."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(60)]
+    scale, y, cost = rng.normal(size=12), rng.choice([-1.0, 1.0], 60), rng.uniform(0.05, 0.3, 60)
+    w = quality.hinge_dual(rows, scale, y, cost, rounds=3000)
+
+    def primal(v):
+        return v @ v / 2 + sum(c * max(0.0, 1 - t * float((v[r] * scale[r]).sum())) for r, t, c in zip(rows, y, cost, strict=True))
+
+    best = primal(w)
+    v = w.copy()
+    for step in (0.1, 0.01, 0.001):  # a plain descent by coordinates and random directions
+        for d in [*np.eye(12), *rng.normal(size=(300, 12))]:
+            for sign in (step, -step):
+                if primal(v + sign * d) < primal(v):
+                    v = v + sign * d
+    assert primal(v) >= best - 1e-3
+
+
+def test_quality_features_equal_brute_force():
+    """Distinct words, in any case, are distinct features; features don't depend on the texts beside."""
+    texts = ["Some words, some WORDS here", None, "", "one", "x y z " * 50]
+    feats, counts = quality.features(texts)
+    each = np.split(feats, np.cumsum(counts)[:-1])
+    for t, f in zip(texts, each, strict=True):
+        alone, n = quality.features([t])
+        assert n.tolist() == [len(f)]
+        assert alone.tolist() == f.tolist()
+        assert f[0] == 0
+    words = quality.Words(["some words, here"]).hash
+    assert set((1 + (words % np.uint64(quality.FEATURES - 1)).astype(int)).tolist()) <= set(each[0].tolist())
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_FEATURES", 3000)
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = quality.fit(docs, labels, sample_rows=200)
+    assert np.isfinite(model.weight).all()
+
+
 def test_hinge_dual_separates():
     rng = np.random.default_rng(0)
     rows = [np.array([0, 1 + k % 2, 3 + int(rng.integers(20))]) for k in range(80)]
@@ -375,35 +524,76 @@ def test_hinge_dual_separates():
     assert all(np.sign(w[r].sum()) == t for r, t in zip(rows, y, strict=True))
 
 
-def test_grammar_scores_clauses():
-    I, H, T, N, R, O = toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.OTHER  # noqa: E741
-    score = lambda *s: toxicity.clause_score(list(s), [1.0] * len(s))
-    assert score(I) == 1.0
-    assert score(T, O, I) == score(I, O, T) == 1.25
-    assert score(N, I) == 0.5
-    assert score(N, O, O, O, I) == 1.0  # out of reach
-    assert score(R, O, O, O, O, O, I) == pytest.approx(0.7)
-    assert score(R, N, T, I) == pytest.approx(1.25 * 0.5 * 0.7)
-    assert score(H) == 0.0
-    assert score(H, O, T) == 1.25
-    assert score(O, T, N) == 0.0
+WORDS = "scum vile dog kill you not said will other more".split()
+
+
+def brute_marks(words):
+    """Lexicon words with marks, by looking around each match."""
+    kinds = {"scum": toxicity.INSULT, "kill": toxicity.HARM, "you": toxicity.TARGET, "not": toxicity.NEGATION, "said": toxicity.REPORT, "will": toxicity.INTENT}
+    out = []
+    for i, w in enumerate(words):
+        term = "vile dog" if w == "dog" and i and words[i - 1] == "vile" else w
+        near = lambda kind, a, b: any(kinds.get(x) == kind for x in words[max(0, a) : max(0, b)])
+        if term in ("scum", "kill", "vile dog"):
+            m = toxicity.NEGATED * near(toxicity.NEGATION, i - 3, i) + toxicity.REPORTED * near(toxicity.REPORT, 0, i)
+            m += toxicity.AIMED * (near(toxicity.TARGET, i - 5, i) or near(toxicity.TARGET, i + 1, i + 6))
+            if term == "kill":
+                m += toxicity.INTENDED * (i == 0 or near(toxicity.INTENT, i - 4, i))
+            out.append((term, m))
+    return out
+
+
+@given(hs.lists(hs.sampled_from(WORDS), max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_grammar_equals_brute_force(words):
+    lexicon = toxicity.Lexicon({b"scum": 2.0, b"vile dog": 3.0})
+    names = {p: w.decode() for w, p in lexicon.place.items()}
+    places = [lexicon.place.get(w.encode(), 0) for w in words]
+    at = [i for i, p in enumerate(places) if p]
+    got = toxicity.Grammar(lexicon).matches(at, [places[i] for i in at]) if at else []
+    assert [(names[p], m) for p, m in got] == brute_marks(words)
+
+
+def test_factors():
+    f = toxicity.Factors(bare=0.8, negated=0.5, reported=0.7, harm=3.0, loose=0.5).table()
+    aimed, harm = toxicity.AIMED, toxicity.MARKS
+    assert f[0] == 0.8
+    assert f[aimed] == 1.0
+    assert f[aimed | toxicity.NEGATED | toxicity.REPORTED] == pytest.approx(0.35)
+    assert f[harm] == f[harm | toxicity.INTENDED] == 0.0
+    assert f[harm | aimed] == 1.5
+    assert f[harm | aimed | toxicity.INTENDED] == 3.0
 
 
 def test_toxic_clauses_end_with_lines():
-    model = toxicity.ToxicityModel({b"scum": 2.0, b"vile*": 1.0})
-    x = model.evidence(["He said. Scum!", "not\nscum", "not scum", "vileness", "vile", None])
-    assert x[:, 0].tolist() == [2.0, 2.0, 1.0, 1.0, 0.0, 0.0]
+    model = toxicity.ToxicityModel({b"scum": 2.0, b"vile*": 1.0, b"dirty dog": 5.0})
+    x = model.evidence(["He said. Scum!", "not\nscum", "not scum", "vileness", "vile", None, "a dirty dog", "dirty. dog", "you dirty dog", "I will burn the wood", "I will burn you"])
+    assert x[:, 0].tolist() == pytest.approx([1.6, 1.6, 0.8, 0.8, 0.0, 0.0, 4.0, 0.0, 5.0, 0.0, 1.0])
 
 
 def test_reports_reach_through_long_clauses():
     model = toxicity.ToxicityModel({b"scum": 2.0})
     far = "word " * 100
     texts = [f"he said {far}scum", f"{far}he said {far}{far}scum {far}scum", f"he said. {far}scum", f"{far}scum {far}he said", f"he said\n{far}scum"]
-    x = model.evidence(texts)
-    assert x[:, 0].tolist() == pytest.approx([1.4, 2.8, 2.0, 2.0, 2.0])
-    symbols = [toxicity.OTHER] * 200
-    symbols[3], symbols[150] = toxicity.REPORT, toxicity.INSULT
-    assert toxicity.clause_score(symbols, [2.0] * 200) == pytest.approx(1.4)
+    assert model.evidence(texts)[:, 0].tolist() == pytest.approx([1.12, 2.24, 1.6, 1.6, 1.6])
+
+
+def test_learned_pairs_of_words():
+    found = [(b"dirty dog", 0, 40), (b"dirty", 400, 45), (b"dog", 400, 45), (b"scum", 1, 30), (b"you scum", 0, 20)]
+    assert set(toxicity.learn_lexicon(found, 1000, 100)) == {b"dirty dog", b"scum"}
+
+
+def test_factors_are_learned():
+    """Labels that follow from a setting other than the default: it is found again."""
+    rng = np.random.default_rng(4)
+    tables = np.array([f.table() for f in toxicity.SETTINGS])
+    model = toxicity.ToxicityModel({f"bad{k}".encode(): float(k) for k in range(1, 9)})
+    texts = [f"{'he said that all of it' if rng.random() < 0.5 else 'all of it'} was {'by you so ' if rng.random() < 0.5 else ''}bad{rng.integers(1, 9)}" for _ in range(3000)]
+    x = model.evidence(texts, tables)
+    truth = next(k for k, f in enumerate(toxicity.SETTINGS) if (f.reported, f.bare, f.negated, f.harm) == (0.4, 0.5, 0.5, 1.0))
+    y = (rng.random(len(texts)) < 1 / (1 + np.exp(6 - 3 * x[:, truth, 0]))).astype(float)
+    factors, _ = toxicity.fit_factors(x, y, np.ones(len(y)))
+    assert (factors.reported, factors.bare) == (0.4, 0.5)
 
 
 # fingerprints
@@ -417,7 +607,7 @@ def test_fingerprints(spark, edges, nothing):
     got = {r["doc_id"]: r for r in rows}
     for k, (i, t) in enumerate(order):
         if i == 14:
-            continue  # repeated rows: each is the other's next
+            continue  # repeated rows: each is the other's next, as the test of hot ids has it
         half = len(t) // 2
         following = order[(k + 1) % len(order)][1]
         assert got[i]["edited"] == t[: len(t) - half] + following[:half]
@@ -431,8 +621,61 @@ def test_fingerprints(spark, edges, nothing):
     assert single["edited"] == "a b c d e f g h i j"[:10] + "a b c d e f g h i j"[:9]
 
 
+def brute_sketch(text, k=fingerprint.K):
+    """The bottom k hashes of the shingle set, one by one, with the xxhash library."""
+    import re
+    import struct
+
+    import xxhash
+
+    chain = lambda numbers: __import__("functools").reduce(lambda seed, v: xxhash.xxh64_intdigest(struct.pack("<Q", v), seed), numbers, 42)
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    grams = [words[i : i + 5] for i in range(len(words) - 4)] if len(words) >= 5 else [words] if words else []
+    return sorted({chain(g) & ((1 << 48) - 1) for g in grams})[:k]
+
+
+def test_sketches_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    texts = ["", "one", "Two words", " \t\n", "ünï çödé 日本語 😀 x y z", *(" ".join(f"w{i}" for i in rng.integers(400, size=n)) for n in (5, 6, 100, 900, 3000))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sketches = [brute_sketch(t) for t in texts]
+    for r in fingerprint.fingerprint_edits(df).collect():
+        i = r["doc_id"]
+        assert r["sketch"] == sketches[i]
+        assert r["next_sketch"] == sketches[i - 1]
+        assert r["edited_sketch"] == brute_sketch(r["edited"])
+    near = df.alias("x")
+    near = fingerprint.with_sketch(fingerprint.with_sketch(near.withColumn("other", F.lit(texts[-1])), "text", "a"), "other", "b").select("doc_id", fingerprint.resemblance(F.col("a"), F.col("b")).alias("r"))
+    for r in near.collect():
+        a, b = sketches[r["doc_id"]], sketches[-1]
+        union = sorted({*a, *b})[: fingerprint.K]
+        assert r["r"] == pytest.approx(len([x for x in union if x in a and x in b]) / max(1, len(union)))
+
+
+def test_fingerprints_of_hot_and_null_ids(spark, monkeypatch):
+    """One doc_id, and null, with many rows: they are cut by the text's hash, and still form one circle."""
+    monkeypatch.setattr(fingerprint, "RANGE_ROWS", 4)
+    monkeypatch.setattr(fingerprint, "MOST_RANGES", 16)
+    rows = [(i, f"t{i}") for i in range(-20, 40)] + [(7, f"hot {i}") for i in range(120)] + [(None, f"null {i}") for i in range(90)] + [((1 << 63) - 1, "top"), (-(1 << 63), "bottom")]
+    df = spark.createDataFrame([(i, f"{t} " * 2) for i, t in rows], "doc_id long, text string")
+    ranged, ranges = fingerprint.with_ranges(df)
+    assert ranged.groupBy("range").count().agg(F.max("count")).first()[0] <= 30
+    up = {r["range"]: r["up"] for r in ranges.collect()}
+    order = sorted(up, reverse=True)
+    assert up == {x: order[i - 1] for i, x in enumerate(order)}
+    got = fingerprint.fingerprint_edits(df).collect()
+    assert len(got) == len(rows)
+    follow = Counter(tuple(r["next_sketch"]) for r in got)
+    assert follow == Counter(tuple(r["sketch"]) for r in got)  # each row is the next of one
+    of = {r["doc_id"]: r["next_sketch"] for r in got if r["doc_id"] is not None}
+    mine = {r["doc_id"]: r["sketch"] for r in got if r["doc_id"] is not None}
+    assert of[30] == mine[29]
+    assert of[(1 << 63) - 1] == mine[39]
+
+
 def test_fingerprints_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "RANGE_ROWS", 4)
+    monkeypatch.setattr(fingerprint, "MOST_RANGES", 4)
     ids = [0, 1, 2, 3, *range(1000, 1040), 10**9, 10**9 + 1]
     df = spark.createDataFrame([(i, f"text of {i} with some more words {i}") for i in ids], "doc_id long, text string")
     got = {r["doc_id"]: r["edited"] for r in fingerprint.fingerprint_edits(df).collect()}
