@@ -119,3 +119,28 @@ def stock_regime(stock_change: Column, demand_change: Column) -> Column:
 def market_state(path_change: Column, level: Column, tight: float, surplus: float) -> Column:
     """CLS-22 on a projected path: level below ``tight`` is a tight balance, above ``surplus`` a surplus; else by the change (thresholds ours)."""
     return F.when(level < tight, "tight balance").when(level > surplus, "surplus").when(path_change > 0, "building").otherwise("drawing")
+
+
+def worst_case(value: Column, loss_share: Column, debt: Column) -> Column:
+    """What is left if the share is lost and the debt is due (FN-M11)."""
+    return value * (1 - loss_share) - debt
+
+
+def value_per_area(value: Column, area: Column) -> Column:
+    """Market value for each unit of planted area (FN-M7)."""
+    return F.when(area > 0, F.try_divide(value, area))
+
+
+def stock_to_sales(stock: Column, sales: Column) -> Column:
+    """FN-M9."""
+    return F.when(sales > 0, F.try_divide(stock, sales))
+
+
+def production_profit(price: Column, cost: Column, by_product: Column) -> Column:
+    """Price and by-products less cost (FN-M13)."""
+    return price + by_product - cost
+
+
+def basis(spot: Column, future: Column) -> Column:
+    """FN-M13."""
+    return spot - future

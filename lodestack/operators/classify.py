@@ -2,65 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .rules import count_true
+from .tables import FIRST_HAND, GAPS
 
-# The phrases that choose a way of working.
-ROUTES = [
-    ("thinking", "帮我分析|如何决策|怎么拆解|帮我判断|怎么选"),
-    ("notes", "整理笔记|会议纪要|知识结晶"),
-    ("article", "写公众号|检查草稿|取标题"),
-]
-WRITING_MODES = [
-    ("topic", "这个题能不能写|值不值得写"),
-    ("outline", "先帮我搭结构|给我大纲"),
-    ("draft", "帮我写一篇"),
-    ("rewrite", "这篇太 AI 了|帮我改顺"),
-    ("review", "检查下问题"),
-    ("title", "给我标题|排一下版"),
-]
-FIRST_HAND = {"policy": "issuing body", "company notice": "company newsroom", "academic claim": "paper or institution", "tool usage": "official documentation or source"}
 WEB_TOOLS = {"discover": "search", "extract": "fetch", "raw html": "curl", "blocked or private": "browser", "login or interaction": "browser"}
-MACRO_KINDS = {"angle": "lens", "history": "background", "object": "variables", "tracking": "indicators", "extension": "definitions"}
-PRIMITIVES = [
-    ("object", "customer|payment method|document|task|identity|asset|claim|source|entity"),
-    ("action", "send|verify|charge|classify|extract|rank|reconcile|deploy|monitor"),
-    ("data", "dataset|index|feed|profile|event stream|table"),
-    ("rule", "policy|permission|validation|compliance|scoring"),
-    ("protocol", "schema|message format|contract|spec|handshake"),
-    ("capability", "delivery|automation|ocr|fraud detection|search|retrieval"),
-    ("agent", "tool schema|callable|memory operation|harness|planner"),
-]
-#: What is missing, and the tools to fill it: (gap, primary tool, supporting tool).
-GAPS = [
-    ("object and question", "question chain", "separation of tasks"),
-    ("choice", "three questions", "statements and margins"),
-    ("behaviour", "interest, cost, belief", "networks"),
-    ("relations over time", "functions", "statistics"),
-    ("recurring result", "systems", "cause"),
-    ("price and power", "supply, demand, margin", "discounting"),
-    ("value to others", "expression", "positioning"),
-    ("risk and cash", "statements", "bayes"),
-    ("execution", "engineering", "modules"),
-    ("review", "review", "data analysis"),
-    ("habit and state", "input and output", "physiology"),
-    ("too much information", "expression", "information"),
-]
-QUESTION_SIGNALS = [
-    ("unclear problem", "don't know (what )?the problem|不知道问题", ["question chain", "abstraction"]),
-    ("recurs", "always like this|总是这样", ["systems", "cause"]),
-    ("future", "how will it change|未来会怎么变", ["functions", "statistics", "bayes"]),
-    ("worth", "why .*worth|值钱", ["supply and demand", "discounting"]),
-    ("should i", "should i|我该不该", ["statements", "discounting"]),
-    ("can't do it", "know but can't|做不出来", ["engineering", "modules"]),
-    ("not understood", "don't understand|不理解|不选择", ["supply and demand", "expression"]),
-    ("experience", "what does this (experience )?mean|说明什么", ["review", "data", "cause", "bayes"]),
-    ("state", "procrastinat|拖延|失控", ["input and output", "physiology"]),
-    ("society", "why .*society|社会|行业为什么", ["supply and demand", "networks", "history"]),
-]
-ARCHETYPES = [("investigation", "tried|tested|亲历|实测"), ("phenomenon", "trend|controversy|热点|现象"), ("tool", "tool|plugin|工具"), ("method", "method|framework|方法|框架"), ("product", "product|experience|产品|体验")]
+#: Rules that a table held as rows may have; they become one expression.
+MOST_RULES = 1000
+
+
+def bounded_rows(table: DataFrame, most: int = MOST_RULES) -> list[Row]:
+    """The rows of a rule table; more than ``most`` are an error."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a rule table may have {most} rows")
+    return rows
 
 
 def route(text: Column, table: list[tuple[str, str]], default: str = "none") -> Column:
@@ -75,15 +33,23 @@ def route(text: Column, table: list[tuple[str, str]], default: str = "none") ->
     return out.otherwise(default)
 
 
-def route_join(df: DataFrame, text: str, table: DataFrame) -> DataFrame:
-    """As route() for a table (label, priority, pattern) held as rows; the best priority wins, null without a match (CLS-5, CLS-12).
+def matched(text: Column, rules: list[tuple], names: list[str]) -> Column:
+    """The values, as a struct of ``names``, of the first rule whose pattern is in the text, in any case; null without a match (CLS-1, 2, 5, 9, 16).
 
-    ``table`` is a rule table; it is broadcast by Spark only below its size threshold.
+    A rule is a tuple (pattern, value, value, ...).  The rules are one CASE: no
+    join, and no row is moved.
     """
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    hits = numbered.select("_row", text).join(table, F.expr(f"`{text}` rlike concat('(?iu)', pattern)"))
-    best = hits.groupBy("_row").agg(F.min_by("label", F.struct("priority", "label")).alias("label"))
-    return numbered.join(best, "_row", "left").drop("_row")
+    kind = "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
+    out = F.lit(None).cast(kind)
+    for pattern, *values in reversed(rules):
+        out = F.when(text.rlike(f"(?iu){pattern}"), F.struct(*(F.lit(v).alias(n) for n, v in zip(names, values, strict=True)))).otherwise(out)
+    return out
+
+
+def route_join(df: DataFrame, text: str, table: DataFrame) -> DataFrame:
+    """``df`` with ``label`` by a table (label, priority, pattern) held as rows; the best priority wins, null without a match (CLS-12)."""
+    rules = sorted(bounded_rows(table), key=lambda r: (r["priority"], r["label"]))
+    return df.withColumn("label", matched(F.col(text), [(r["pattern"], r["label"]) for r in rules], ["label"])["label"])
 
 
 def scores(text: Column, table: list[tuple[str, str]]) -> Column:
@@ -98,10 +64,10 @@ def argmax(scored: Column, default: str = "none") -> Column:
     return F.when(F.coalesce(top, F.lit(0)) > 0, F.element_at(F.filter(entries, lambda e: e["value"] == top), 1)["key"]).otherwise(default)
 
 
-def gap_tools(spark: SparkSession, df: DataFrame, gap: str) -> DataFrame:
-    """Joins the gap table (CLS-4)."""
-    table = spark.createDataFrame(GAPS, "gap string, primary_tool string, supporting_tool string")
-    return df.join(table, df[gap] == table["gap"], "left")
+def gap_tools(df: DataFrame, gap: str) -> DataFrame:
+    """``df`` with the main tools, supporting chain and output focus for what is missing (CLS-4); null for an unknown gap."""
+    found = F.element_at(F.create_map(*(x for g, *rest in GAPS for x in (F.lit(g), F.array(*map(F.lit, rest))))), F.col(gap))
+    return df.select("*", *(found[i].alias(n) for i, n in enumerate(("main_tools", "chain", "focus"))))
 
 
 def timing(built: Column) -> Column:
@@ -168,6 +134,11 @@ def retention(text: Column) -> Column:
     return F.when(text.rlike(r"(?iu)\b(is defined as|means|because|mechanism|revised|framework)\b|定义|机制|修正"), "keep").when(text.rlike(r"\d"), "drop").otherwise("keep")
 
 
+def first_hand(kind: Column, source: Column) -> Column:
+    """Whether a source is the first-hand one for this kind of claim (CLS-20)."""
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in FIRST_HAND for x in pair)), kind) == source, F.lit(False))
+
+
 def evidence_tier(df: DataFrame, claim: str, source: str, first_hand: str) -> DataFrame:
     """Per claim: first-hand if any source is, else secondary, or single for one source only (CLS-20)."""
     per = df.groupBy(claim).agg(F.max(F.col(first_hand).cast("int")).alias("_f"), F.count_distinct(source).alias("sources"))

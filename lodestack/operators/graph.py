@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 
 def degrees(edges: DataFrame, node: str, other: str) -> DataFrame:
     """Distinct neighbours of each node (AGG-17)."""
@@ -18,22 +20,24 @@ def second_degree(edges: DataFrame) -> DataFrame:
     return two.join(e, ["src", "dst"], "left_anti")
 
 
-def reachable(edges: DataFrame, steps: int) -> DataFrame:
-    """(src, dst) within ``steps`` steps, once each (UDF-3).
+def reachable(edges: DataFrame, steps: int | None = None) -> DataFrame:
+    """(src, dst) within ``steps`` steps, or at any distance, once each (UDF-3).
 
     Paths are doubled: pairs within n steps joined with themselves give those
-    within 2n, so the plan grows with the logarithm of ``steps``; cycles end by
-    the distinct.
+    within 2n.  Each round is a stored table, so no plan grows; without a number
+    of steps rounds end when a pair more isn't found.
     """
-    e = edges.select("src", "dst").distinct()
-    far, left, within = None, steps, e
-    while left:
-        if left & 1:
-            far = within if far is None else _joined(far, within)
-        left >>= 1
-        if left:
-            within = _joined(within, within)
-    return far if far is not None else e.limit(0)
+    within, far, left, label = stored(edges.select("src", "dst").distinct(), "paths"), None, steps, "paths"
+    while left is None or left:
+        if left is not None and left & 1:
+            far = within if far is None else stored(_joined(far, within), label)
+        left = left >> 1 if left is not None else None
+        if left != 0:
+            longer = stored(_joined(within, within), label)
+            if left is None and longer.count() == within.count():
+                return longer
+            within = longer
+    return far if far is not None else within.limit(0)
 
 
 def _joined(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -48,6 +52,8 @@ def downstream(nodes: DataFrame, edges: DataFrame, steps: int = 4) -> DataFrame:
     return nodes.select(F.col(nodes.columns[0]).alias("node")).join(far.withColumnRenamed("src", "node"), "node", "left").select("node", F.coalesce("n", F.lit(0)).alias("downstream"))
 
 
-def on_cycle(edges: DataFrame, steps: int) -> DataFrame:
-    """Nodes that reach themselves: feedback loops (UDF-3)."""
-    return reachable(edges, steps).where("src = dst").select(F.col("src").alias("node"))
+def on_cycle(edges: DataFrame) -> DataFrame:
+    """Nodes that reach themselves: feedback loops of any length (UDF-3).  Nodes that nothing leads to are left out first."""
+    e = edges.select("src", "dst").distinct()
+    inner = e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+    return reachable(inner).where("src = dst").select(F.col("src").alias("node"))

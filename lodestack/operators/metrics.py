@@ -91,3 +91,10 @@ def comparable(df: DataFrame, grade: str, value: str, to: str = "place") -> Data
 def indicator_validity(df: DataFrame, regime: str, price: str, indicators: list[str]) -> DataFrame:
     """Per regime the correlation of each indicator with the price (FN-M14)."""
     return df.groupBy(regime).agg(*(F.corr(price, i).alias(i) for i in indicators))
+
+
+def backtest(df: DataFrame, signal: str, outcome: str, entity: list[str], period: str) -> DataFrame:
+    """How often the sign of the signal's change foretold that of the outcome's next change (AGG-15): n, hits and rate."""
+    w = _by(entity, period)
+    steps = df.select(F.signum(F.col(signal) - F.lag(signal).over(w)).alias("s"), F.signum(F.lead(outcome).over(w) - F.col(outcome)).alias("o")).where("s IS NOT NULL AND o IS NOT NULL AND s != 0")
+    return steps.agg(F.count("*").alias("n"), F.count_if(F.col("s") == F.col("o")).alias("hits")).withColumn("rate", F.try_divide("hits", "n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import head
+from .classify import bounded_rows
 
 
 def title(html: Column) -> Column:
@@ -76,8 +77,17 @@ def note_from_file(files: DataFrame) -> DataFrame:
 def site_match(inputs: DataFrame, text: str, notes: DataFrame) -> DataFrame:
     """All notes whose ``domain|alias…`` is in the text, in any case, as an unescaped regular expression (JOIN-1).
 
-    A theta join: the notes are a small table, broadcast by Spark below its size
-    threshold; empty texts match nothing.
+    The notes are a rule table of bounded size, so each is one expression and no
+    row is moved; empty texts match nothing.
     """
-    patterns = notes.select("domain", "body", F.concat(F.lit("(?iu)"), F.concat_ws("|", "domain", "aliases")).alias("_p"))
-    return inputs.where(F.coalesce(F.col(text), F.lit("")) != "").join(patterns, F.expr(f"`{text}` rlike _p")).drop("_p")
+    found = [(r["domain"], r["body"], "|".join(x for x in (r["domain"], r["aliases"]) if x is not None)) for r in bounded_rows(notes)]
+    hits = F.array(*(F.when(F.col(text).rlike(f"(?iu){p}"), F.struct(F.lit(d).alias("domain"), F.lit(b).cast("string").alias("body"))) for d, b, p in found)) if found else F.array().cast("array<struct<domain: string, body: string>>")
+    rows = inputs.where(F.coalesce(F.col(text), F.lit("")) != "")
+    return rows.select("*", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_note")).select(*inputs.columns, "_note.domain", "_note.body")
+
+
+def fetched(pages: DataFrame, wanted: Column) -> DataFrame:
+    """page_id and content by what is wanted (SRC-17): raw HTML, the title and links alone, or the visible text."""
+    html = F.col("html")
+    brief = F.concat_ws("\n", title(html), F.array_join(links(html), "\n"))
+    return pages.select("page_id", wanted.alias("wanted"), F.when(wanted == "raw html", html).when(wanted == "links", brief).otherwise(visible_text(html)).alias("content"))

@@ -1,3 +1,3 @@
 """The named queries; importing this package registers them all."""
 
-from . import corpus, finance, flows, pages, rules, stores, wiki  # noqa: F401
+from . import corpus, finance, flows, pages, rules, signals, stores, wiki  # noqa: F401

@@ -139,15 +139,6 @@ def token_entropy(spark, sf):
     return textstyle.entropy(table(spark, sf, "documents"), "doc_id", "text").withColumn("entropy", F.round("entropy", 6))
 
 
-@query("FN-S15 FN-S17 FN-S18 FN-S19", "SELECT doc_id, len(regexp_extract_all(text, 'tion|thes')) AS stock, round(len(regexp_extract_all(text, 'and|the')) / nullif(len(list_filter(string_split(text, ' '), lambda x: x <> '')), 0), 6) AS abstract, regexp_matches(list_extract(string_split(rtrim(text, ' '), chr(10)), -1), 'ing[.]') AS label_ending, regexp_matches(text, 'was|said') AS attributed FROM documents")
-def style_lexicons(spark, sf):
-    """The lexicon measures with lists that occur in these tables."""
-    t = F.col("text")
-    return table(spark, sf, "documents").select(
-        "doc_id", textstyle.stock_sentences(t, ["tion", "thes"]).cast("long").alias("stock"), F.round(textstyle.word_density(t, ["and", "the"]), 6).alias("abstract"), textstyle.label_ending(t, ["ing[.]"]).alias("label_ending"), textstyle.attributed(t, ["was", "said"]).alias("attributed")
-    )
-
-
 @query("SRC-15 FN-S10", "SELECT doc_id, substring(text, 1, 100) AS head FROM documents")
 def prefix_slice(spark, sf):
     from ..functions.strings import head
@@ -155,29 +146,28 @@ def prefix_slice(spark, sf):
     return table(spark, sf, "documents").select("doc_id", head(F.col("text")).alias("head"))
 
 
-@query("CLS-1 CLS-2", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)licensed|copyright') THEN 'licence' WHEN regexp_matches(text, '(?i)@|http') THEN 'contact' WHEN regexp_matches(text, '[|]') THEN 'table' ELSE 'none' END AS route FROM documents")
-def request_route(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", classify.route(F.col("text"), [("licence", "licensed|copyright"), ("contact", "@|http"), ("table", "[|]")]).alias("route"))
-
-
-@query("CLS-3", "WITH s AS (SELECT doc_id, len(regexp_extract_all(text, '(?i)tion')) AS a, len(regexp_extract_all(text, '(?i)keit')) AS b, len(regexp_extract_all(text, '(?i)eau')) AS c FROM documents) SELECT doc_id, CASE WHEN greatest(a, b, c) = 0 THEN 'none' WHEN a = greatest(a, b, c) THEN 'tion' WHEN b = greatest(a, b, c) THEN 'keit' ELSE 'eau' END AS archetype FROM s")
-def main_archetype(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", classify.argmax(classify.scores(F.col("text"), [("tion", "tion"), ("keit", "keit"), ("eau", "eau")])).alias("archetype"))
-
-
-@query("CLS-5 CLS-12", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)general public') THEN 'gpl' WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'licence' END AS label FROM documents")
+@query("CLS-12", "SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)general public') THEN 'gpl' WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'licence' END AS label FROM documents")
 def theme_join(spark, sf):
     themes = spark.createDataFrame([("gpl", 1, "general public"), ("licence", 2, "licen[sc]e")], "label string, priority int, pattern string")
     return classify.route_join(table(spark, sf, "documents").select("doc_id", "text"), "text", themes).select("doc_id", "label")
 
 
+@query("CLS-12 AGG-3", "SELECT lang AS series, source AS subseries, CASE WHEN regexp_matches(text, '(?i)licen[sc]e|copyright') THEN 'licence' ELSE 'prose' END AS theme, CASE WHEN n_chars > 2000 THEN 'high' ELSE 'low' END AS product_value, CASE WHEN contains(text, '|') THEN 'table' ELSE 'note' END AS output_type, count(*) AS n FROM documents GROUP BY ALL")
+def series_catalogue(spark, sf):
+    """Documents by series, subseries, theme, product value and output type."""
+    t = F.col("text")
+    theme = F.coalesce(classify.matched(t, [("licen[sc]e|copyright", "licence")], ["label"])["label"], F.lit("prose"))
+    rows = table(spark, sf, "documents").select(F.col("lang").alias("series"), F.col("source").alias("subseries"), theme.alias("theme"), F.when(F.col("n_chars") > 2000, "high").otherwise("low").alias("product_value"), F.when(F.contains(t, F.lit("|")), "table").otherwise("note").alias("output_type"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
 @query("CLS-18 FIL-26", "SELECT doc_id, CASE WHEN contains(text, '|') AND len(string_split(text, chr(10))) >= 2 THEN 'table' WHEN len(string_split(text, chr(10))) >= 2 THEN 'list' ELSE 'paragraph' END AS form, CASE WHEN regexp_matches(text, '(?i)\\b(is defined as|means|because|mechanism|revised|framework)\\b|定义|机制|修正') THEN 'keep' WHEN regexp_matches(text, '\\d') THEN 'drop' ELSE 'keep' END AS retention FROM documents".replace("\\\\", "\\"))
 def display_and_retention(spark, sf):
     t = F.col("text")
     return table(spark, sf, "documents").select("doc_id", classify.display_form(F.size(F.split(t, "\n")), F.when(F.contains(t, F.lit("|")), 2).otherwise(1), F.lit(False)).alias("form"), classify.retention(t).alias("retention"))
 
 
-@query("SORT-6", """WITH q AS (SELECT DISTINCT item_id AS id, unnest(list_filter(string_split(text, ' '), lambda x: length(x) >= 9)) AS t FROM benchmark), p AS (SELECT DISTINCT doc_id AS page_id, unnest(list_filter(string_split(text, ' '), lambda x: length(x) >= 9)) AS t FROM documents),
+@query("SORT-6", """WITH q AS (SELECT DISTINCT item_id AS id, unnest(list_filter(string_split(text, ' '), lambda x: x <> '')) AS t FROM benchmark), p AS (SELECT DISTINCT doc_id AS page_id, unnest(list_filter(string_split(text, ' '), lambda x: x <> '')) AS t FROM documents),
 o AS (SELECT id, page_id, count(*) AS overlap FROM q JOIN p USING (t) GROUP BY 1, 2) SELECT id, place, page_id, overlap FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, page_id) AS place FROM o) WHERE place <= 2""")
 def minimum_pages(spark, sf):
     """For each benchmark passage the two documents that share most of its words."""

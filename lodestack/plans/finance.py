@@ -85,7 +85,7 @@ def stock_path(spark, sf):
     return p.select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("stock", 2).alias("stock"), fn.market_state(F.col("net"), F.col("stock"), 1000, 6000).alias("state"))
 
 
-@query("AGG-16 AGG-15", "WITH o AS (SELECT date_trunc('month', o_orderdate) AS m, sum(o_totalprice) AS y FROM orders GROUP BY 1), l AS (SELECT date_trunc('month', o_orderdate) AS m, sum(l_extendedprice) AS x FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) SELECT round(regr_slope(y, x), 6) AS slope, round(corr(y, x), 6) AS correlation, round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n FROM o JOIN l USING (m)")
+@query("AGG-16", "WITH o AS (SELECT date_trunc('month', o_orderdate) AS m, sum(o_totalprice) AS y FROM orders GROUP BY 1), l AS (SELECT date_trunc('month', o_orderdate) AS m, sum(l_extendedprice) AS x FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) SELECT round(regr_slope(y, x), 6) AS slope, round(corr(y, x), 6) AS correlation, round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n FROM o JOIN l USING (m)")
 def price_beta(spark, sf):
     o = table(spark, sf, "orders")
     y = o.groupBy(F.date_trunc("month", "o_orderdate").alias("m")).agg(F.sum("o_totalprice").alias("y"))
@@ -96,7 +96,7 @@ def price_beta(spark, sf):
     return b.select(F.round("slope", 6).alias("slope"), F.round("correlation", 6).alias("correlation"), F.round("r2", 6).alias("r2"), F.col("n").cast("long").alias("n"))
 
 
-@query("AGG-15 AGG-8", "SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal), 4) AS mean, round(stddev_samp(c_acctbal), 4) AS sd FROM customer GROUP BY 1")
+@query("AGG-8", "SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal), 4) AS mean, round(stddev_samp(c_acctbal), 4) AS sd FROM customer GROUP BY 1")
 def segment_compare(spark, sf):
     from ..operators.evolve import variance
 
@@ -134,12 +134,12 @@ def screen_rank(spark, sf):
     return metrics.bank_screen(s, "s_acctbal", "shrinking", "s_suppkey", 3000).select("s_suppkey", "s_name", "s_acctbal")
 
 
-@query("FN-M2 FN-M11", "SELECT o_custkey, round(sum(o_totalprice / pow(1.1, year(o_orderdate) - 1992)), 2) AS present_value FROM orders GROUP BY 1")
+@query("FN-M2", "SELECT o_custkey, round(sum(o_totalprice / pow(1.1, year(o_orderdate) - 1992)), 2) AS present_value FROM orders GROUP BY 1")
 def present_value(spark, sf):
     return table(spark, sf, "orders").groupBy("o_custkey").agg(F.round(F.sum(fn.discounted(F.col("o_totalprice"), F.lit(0.1), F.year("o_orderdate") - 1992)), 2).alias("present_value"))
 
 
-@query("FN-M1 FIL-24 CLS-15", "SELECT p_partkey, round(CASE WHEN p_size - 10 > 0 THEN p_retailprice / (p_size - 10) END, 6) AS pe, CASE WHEN p_size % 2 = 0 THEN 'PE' ELSE 'PB' END AS method FROM part")
+@query("FIL-24 CLS-15", "SELECT p_partkey, round(CASE WHEN p_size - 10 > 0 THEN p_retailprice / (p_size - 10) END, 6) AS pe, CASE WHEN p_size % 2 = 0 THEN 'PE' ELSE 'PB' END AS method FROM part")
 def valuation(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.round(fn.pe(F.col("p_retailprice"), F.col("p_size") - 10), 6).alias("pe"), fn.valuation_method(F.col("p_size") % 2 == 0).alias("method"))
 
@@ -150,7 +150,7 @@ def perpetuity_value(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", F.round(fn.perpetuity(F.col("s_acctbal"), F.lit(0.1), g), 4).alias("value"))
 
 
-@query("FN-M4 FN-M6 FN-M7", "WITH n AS (SELECT c_nationkey AS nation, count(*) AS people, avg((c_acctbal > 0)::INT) AS penetration, sum(c_acctbal) AS balance FROM customer GROUP BY 1) SELECT nation, round(people * penetration * 2 * 3 * 0.25 - 1, 6) AS profit, round(balance / sum(balance) OVER (), 6) AS share FROM n")
+@query("FN-M4 FN-M6", "WITH n AS (SELECT c_nationkey AS nation, count(*) AS people, avg((c_acctbal > 0)::INT) AS penetration, sum(c_acctbal) AS balance FROM customer GROUP BY 1) SELECT nation, round(people * penetration * 2 * 3 * 0.25 - 1, 6) AS profit, round(balance / sum(balance) OVER (), 6) AS share FROM n")
 def nation_profit(spark, sf):
     n = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("people"), F.avg((F.col("c_acctbal") > 0).cast("int")).alias("penetration"), F.sum("c_acctbal").alias("balance"))
     from pyspark.sql import Window
@@ -160,7 +160,7 @@ def nation_profit(spark, sf):
     return n.select("nation", F.round(p, 6).alias("profit"), F.round(fn.share(F.col("balance"), whole), 6).alias("share"))
 
 
-@query("FN-M5 FN-M9 FN-M13", "SELECT c_custkey, round(CASE WHEN -c_acctbal > 0 THEN 1400 / -c_acctbal END, 6) AS runway, round(c_acctbal - 1000, 2) AS spread FROM customer")
+@query("FN-M5", "SELECT c_custkey, round(CASE WHEN -c_acctbal > 0 THEN 1400 / -c_acctbal END, 6) AS runway, round(c_acctbal - 1000, 2) AS spread FROM customer")
 def cash_runway(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", F.round(fn.runway(F.lit(1400.0), -F.col("c_acctbal")), 6).alias("runway"), F.round(fn.spread(F.col("c_acctbal"), F.lit(1000.0)), 2).alias("spread"))
 
@@ -175,3 +175,44 @@ def penetration(spark, sf):
 def indicator_validity(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("regime"), "o_totalprice", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     return metrics.indicator_validity(o, "regime", "o_totalprice", ["year", "month"]).select("regime", F.round("year", 6).alias("year"), F.round("month", 6).alias("month"))
+
+
+@query("FN-M1 FIL-24", "SELECT p_partkey, round(CASE WHEN p_size > 10 THEN p_retailprice / (p_size - 10) END, 6) AS pe, round(CASE WHEN p_size > 20 THEN p_retailprice / (p_size - 20) END, 6) AS pb, round(CASE WHEN p_size > 0 THEN p_retailprice / p_size END, 6) AS ps FROM part")
+def valuation_ratios(spark, sf):
+    price, size = F.col("p_retailprice"), F.col("p_size")
+    return table(spark, sf, "part").select("p_partkey", F.round(fn.pe(price, size - 10), 6).alias("pe"), F.round(fn.pb(price, size - 20), 6).alias("pb"), F.round(fn.ps(price, size), 6).alias("ps"))
+
+
+@query("FN-M3", """SELECT s_suppkey, round(CASE WHEN w > 0 THEN c / w END, 4) AS zero_growth, round(CASE WHEN w > 0.02 AND w > 0 THEN c * 1.02 / (w - 0.02) END, 4) AS constant_growth,
+ round(CASE WHEN w > 0.02 THEN c * 1.1 / (1 + w) + c * pow(1.1, 2) / pow(1 + w, 2) + c * pow(1.1, 3) / pow(1 + w, 3) + c * pow(1.1, 3) * 1.02 / (w - 0.02) / pow(1 + w, 3) END, 4) AS two_stage FROM (SELECT s_suppkey, s_acctbal AS c, (s_nationkey % 13) / 100.0 AS w FROM supplier)""")
+def cash_flow_value(spark, sf):
+    """Free cash flow at zero, constant and two-stage growth."""
+    c, w = F.col("s_acctbal"), (F.col("s_nationkey") % 13) / 100.0
+    return table(spark, sf, "supplier").select("s_suppkey", F.round(fn.perpetuity(c, w), 4).alias("zero_growth"), F.round(fn.perpetuity(c, w, F.lit(0.02)), 4).alias("constant_growth"), F.round(fn.two_stage(c, w, F.lit(0.1), 3, F.lit(0.02)), 4).alias("two_stage"))
+
+
+@query("FN-M11 FN-M2", "SELECT o_orderkey, round(o_totalprice / pow(1.1, year(o_orderdate) - 1992), 2) AS present_value, round(0.2 * 3 - 0.05 * 2, 6) AS leveraged, round(o_totalprice * (1 - 0.4) - 50000, 2) AS worst_case FROM orders")
+def long_bets(spark, sf):
+    """Present value, leveraged return and worst case of each order."""
+    v = F.col("o_totalprice")
+    return table(spark, sf, "orders").select("o_orderkey", F.round(fn.discounted(v, F.lit(0.1), F.year("o_orderdate") - 1992), 2).alias("present_value"), F.round(fn.leveraged(F.lit(0.2), F.lit(0.05), F.lit(3)), 6).alias("leveraged"), F.round(fn.worst_case(v, F.lit(0.4), F.lit(50000)), 2).alias("worst_case"))
+
+
+@query("FN-M7 FN-M9 FN-M13", """WITH l AS (SELECT l_partkey, sum(l_quantity) AS sold, sum(l_extendedprice) AS sales, count(*) FILTER (l_returnflag = 'R') AS bad, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT p_partkey, round(sales / sum(sales) OVER (), 9) AS chain_share, round(CASE WHEN p_size > 0 THEN p_retailprice / p_size END, 6) AS value_per_area, round(CASE WHEN sold > 0 THEN p_size / sold END, 6) AS stock_to_sales, round(bad / n, 6) AS defects, round(CASE WHEN sales - 1000 > 0 THEN p_retailprice / (sales - 1000) END, 6) AS payback,
+ round(p_retailprice - sales / sold, 4) AS basis, round(p_retailprice + 5 - 0.8 * p_retailprice, 4) AS production_profit FROM part JOIN l ON l_partkey = p_partkey""")
+def chain_ratios(spark, sf):
+    """Shares, value per area, stock to sales, defects, payback, basis and production profit of each part that was sold."""
+    l = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("sold"), F.sum("l_extendedprice").alias("sales"), F.count_if(F.col("l_returnflag") == "R").alias("bad"), F.count("*").alias("n"))  # noqa: E741
+    total = l.agg(F.sum("sales").alias("total"))
+    p = table(spark, sf, "part").join(l, F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(total))  # one row
+    price, size, sales, sold = F.col("p_retailprice"), F.col("p_size"), F.col("sales"), F.col("sold")
+    r = lambda c, n, k=6: F.round(c, k).alias(n)
+    return p.select("p_partkey", r(fn.share(sales, F.col("total")), "chain_share", 9), r(fn.value_per_area(price, size), "value_per_area"), r(fn.stock_to_sales(size, sold), "stock_to_sales"), r(fn.share(F.col("bad"), F.col("n")), "defects"), r(fn.payback(price, sales - 1000), "payback"), r(fn.basis(price, sales / sold), "basis", 4), r(fn.production_profit(price, 0.8 * price, F.lit(5)), "production_profit", 4))
+
+
+@query("AGG-15", "WITH m AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS x, sum(o_totalprice) AS y FROM orders GROUP BY 1), s AS (SELECT sign(x - lag(x) OVER (ORDER BY m)) AS s, sign(lead(y) OVER (ORDER BY m) - y) AS o FROM m) SELECT count(*) AS n, count(*) FILTER (s = o) AS hits, round(count(*) FILTER (s = o) / nullif(count(*), 0), 6) AS rate FROM s WHERE s IS NOT NULL AND o IS NOT NULL AND s <> 0")
+def signal_backtest(spark, sf):
+    """Whether a month with more orders than the one before foretold a higher total in the next."""
+    m = table(spark, sf, "orders").groupBy(F.date_trunc("month", "o_orderdate").alias("m")).agg(F.count("*").alias("x"), F.sum("o_totalprice").alias("y"))
+    return metrics.backtest(m, "x", "y", [], "m").withColumn("rate", F.round("rate", 6))

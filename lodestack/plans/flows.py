@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..catalog import query
-from ..operators import evolve
+from ..catalog import query, sql_rows
+from ..functions import strings
+from ..operators import classify, evolve
+from ..operators.tables import FIRST_HAND
 from ..session import table
 
 
@@ -52,7 +54,7 @@ def feedback_counters(spark, sf):
     return evolve.apply_feedback(patterns, e.where("event_type = 'error'").select(F.col("user_id").alias("id"), (F.col("value") > 10).alias("success")))
 
 
-@query("AGG-10 FN-J1", "SELECT CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total, count(*) AS n FROM events")
+@query("FN-J1", "SELECT CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total, count(*) AS n FROM events")
 def json_unpack(spark, sf):
     return table(spark, sf, "events").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("total"), F.count("*").alias("n"))
 
@@ -64,7 +66,7 @@ def json_fields(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), lookup({"view": "read", "click": "act"}, F.col("event_type"), "other").alias("kind"))
 
 
-@query("JOIN-2 STR-2", "WITH q AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'), a AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase'), m AS (SELECT q.event_id, min(a.ts) AS answered FROM q LEFT JOIN a ON a.user_id = q.user_id AND a.ts >= q.ts AND a.ts <= q.ts + INTERVAL 6 HOUR GROUP BY 1) SELECT event_id, CASE WHEN answered IS NULL THEN 'timeout' ELSE 'answered' END AS status FROM m")
+@query("JOIN-2", "WITH q AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'), a AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase'), m AS (SELECT q.event_id, min(a.ts) AS answered FROM q LEFT JOIN a ON a.user_id = q.user_id AND a.ts >= q.ts AND a.ts <= q.ts + INTERVAL 6 HOUR GROUP BY 1) SELECT event_id, CASE WHEN answered IS NULL THEN 'timeout' ELSE 'answered' END AS status FROM m")
 def request_match(spark, sf):
     """Views answered by the same user's purchase within six hours, else timed out."""
     from ..streaming.correlate import match_requests
@@ -75,7 +77,7 @@ def request_match(spark, sf):
     return match_requests(q, a, ["user_id"], "event_id", "asked", "answered", "6 hours").select("event_id", "status")
 
 
-@query("JOIN-3 STR-4", "WITH s AS (SELECT user_id, max(event_id) AS session FROM events WHERE event_type = 'signup' GROUP BY 1) SELECT e.event_id, coalesce(s.session, -1) AS session, s.session IS NOT NULL AS hit FROM events e LEFT JOIN s ON s.user_id = e.user_id WHERE e.event_type = 'click'")
+@query("JOIN-3", "WITH s AS (SELECT user_id, max(event_id) AS session FROM events WHERE event_type = 'signup' GROUP BY 1) SELECT e.event_id, coalesce(s.session, -1) AS session, s.session IS NOT NULL AS hit FROM events e LEFT JOIN s ON s.user_id = e.user_id WHERE e.event_type = 'click'")
 def session_lookup(spark, sf):
     from ..operators.registry import sessions_with_fallback
 
@@ -84,9 +86,9 @@ def session_lookup(spark, sf):
     return sessions_with_fallback(e.where("event_type = 'click'").select("event_id", "user_id"), s, "user_id", "session", F.lit(-1)).select("event_id", "session", "hit")
 
 
-@query("STR-1", None)
+@query("STR-1", "SELECT CAST(b AS BIGINT) AS batch, count(*) AS items, count(DISTINCT event_id) AS distinct_items FROM (SELECT event_id, min(event_id % 2) AS b FROM events GROUP BY 1) GROUP BY 1")
 def incremental_intake(spark, sf):
-    """Two overlapping batches of events taken in by a file stream; each id once."""
+    """Two overlapping batches of events taken in by a file stream, even ids and then all; each id once, in the batch that has it first."""
     from ..streaming.intake import demo_two_batches
 
     return demo_two_batches(spark, table(spark, sf, "events"), "event_id")
@@ -99,9 +101,40 @@ def listing_pages(spark, sf):
     return paginate(table(spark, sf, "events").select(F.col("user_id").alias("key"), "event_id"), "event_id").select(F.col("key").alias("user_id"), "event_id", "page", "total")
 
 
-@query("CLS-20", "WITH c AS (SELECT user_id, max((event_type = 'signup' AND value > 12)::INT) AS f, count(DISTINCT event_type) AS sources FROM events GROUP BY 1) SELECT user_id, sources, CASE WHEN f = 1 THEN 'first-hand' WHEN sources = 1 THEN 'single source' ELSE 'secondary' END AS tier FROM c")
+_KINDS = [k for k, _ in FIRST_HAND]
+_SOURCES = [*(s for _, s in FIRST_HAND), "press"]
+
+
+@query("CLS-20", f"""WITH c AS (SELECT user_id, list_extract({[*_KINDS]!r}, (user_id % 4 + 1)::INT) AS kind, list_extract({[*_SOURCES]!r}, (event_id % 5 + 1)::INT) AS source FROM events), t AS (SELECT user_id, max((f.source IS NOT NULL)::INT) AS f, count(DISTINCT c.source) AS sources FROM c LEFT JOIN (VALUES {sql_rows(FIRST_HAND)}) AS f(kind, source) ON f.kind = c.kind AND f.source = c.source GROUP BY 1)
+SELECT user_id, sources, CASE WHEN f = 1 THEN 'first-hand' WHEN sources = 1 THEN 'single source' ELSE 'secondary' END AS tier FROM t""")
 def evidence_tiers(spark, sf):
-    from ..operators.classify import evidence_tier
+    """Each user is a claim of one of four kinds, each event a source of it: first-hand if the kind's own source is among them."""
+    at = lambda values, key: F.element_at(F.array(*map(F.lit, values)), (F.col(key) % len(values) + 1).cast("int"))
+    e = table(spark, sf, "events").select("user_id", at(_KINDS, "user_id").alias("kind"), at(_SOURCES, "event_id").alias("source"))
+    return classify.evidence_tier(e.withColumn("first", classify.first_hand(F.col("kind"), F.col("source"))), "user_id", "source", "first")
+
+
+_ROLES = {"view": "attach", "click": "detach", "error": "disconnect", "signup": "request", "purchase": "response"}
+
 
-    e = table(spark, sf, "events").withColumn("first", (F.col("event_type") == "signup") & (F.col("value") > 12))
-    return evidence_tier(e, "user_id", "event_type", "first")
+@query("AGG-10 STR-4 STR-5", """WITH e AS (SELECT user_id, ts, event_id, event_type, CAST(event_id % 7 AS INT) AS item FROM events),
+z AS (SELECT user_id, max((ts, event_id)) AS fin, max(ts) AS fin_ts, max((ts, event_id)) FILTER (event_type = 'error') AS cut FROM e GROUP BY 1),
+i AS (SELECT user_id, item, max((ts, event_id)) FILTER (event_type = 'view') AS a, max((ts, event_id)) FILTER (event_type = 'click') AS d, max((ts, event_id)) FILTER (event_type = 'signup') AS q, max(ts) FILTER (event_type = 'signup') AS q_ts, max((ts, event_id)) FILTER (event_type = 'purchase') AS p FROM e WHERE event_type <> 'error' GROUP BY 1, 2)
+SELECT z.user_id, count(*) FILTER (a IS NOT NULL AND (d IS NULL OR a > d) AND (cut IS NULL OR a > cut)) AS sessions, count(*) FILTER (q IS NOT NULL AND (p IS NULL OR q > p) AND q_ts + INTERVAL 7 DAY > fin_ts) AS pending FROM z LEFT JOIN i ON i.user_id = z.user_id GROUP BY 1""")
+def connection_state(spark, sf):
+    """Users as connections: open sessions and pending requests after the last event; a disconnect clears the sessions only."""
+    from ..streaming.sessions import connection_counts
+
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", strings.lookup(_ROLES, F.col("event_type"), "other").alias("kind"), (F.col("event_id") % 7).cast("int").alias("item"))
+    return connection_counts(e, "user_id", "ts", "event_id", "7 days")
+
+
+@query("STR-3", "WITH q AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'), m AS (SELECT q.event_id, (epoch_us(min(a.ts)) - epoch_us(q.ts)) / 1e6 / 1800 AS late FROM q LEFT JOIN events a ON a.event_type = 'purchase' AND a.user_id = q.user_id AND a.ts >= q.ts AND a.ts <= q.ts + INTERVAL 15 HOUR GROUP BY q.event_id, q.ts) SELECT event_id, CASE WHEN late IS NOT NULL AND greatest(ceil(round(late, 6)), 1) < 30 THEN 'complete' ELSE 'timeout' END AS status, CAST(CASE WHEN late IS NOT NULL AND greatest(ceil(round(late, 6)), 1) < 30 THEN greatest(ceil(round(late, 6)), 1) ELSE 29 END AS INT) AS polls FROM m")
+def poll_status(spark, sf):
+    """Views wait for the same user's purchase, looking every half hour up to 15 hours."""
+    from ..streaming.sessions import polled
+
+    e = table(spark, sf, "events")
+    waits = e.where("event_type = 'view'").select("event_id", "user_id", F.col("ts").alias("asked"))
+    ready = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("done"))
+    return polled(waits, ready, ["user_id"], "event_id", "asked", "done", 1800.0, 54000.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..catalog import query
+from ..catalog import query, sql_rows
 from ..functions import strings
 from ..operators import classify, pages as ops, wiki
 from ..session import table
@@ -25,7 +25,7 @@ def link_totals(spark, sf):
     return table(spark, sf, "pages").select(F.explode(ops.links(F.col("html"))).alias("href")).agg(F.count("*").alias("links"), F.count_distinct("href").alias("distinct_links"))
 
 
-@query("SRC-14 UDF-1 SRC-17", "SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS error FROM pages")
+@query("SRC-14 UDF-1", "SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS error FROM pages")
 def page_evaluate(spark, sf):
     return ops.evaluate(table(spark, sf, "pages"), "links").select("page_id", "result.value", "result.error")
 
@@ -75,8 +75,28 @@ def page_files(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.regexp_extract("url", r"([^/]+)\.html", 1).alias("base"), strings.safe_filename(F.col("url"), F.col("page_id").cast("string")).alias("file"))
 
 
-@query("CLS-19 SRC-12", "SELECT page_id, CASE WHEN contains(url, 'spam') THEN 'browser' WHEN contains(html, '<script') THEN 'curl' ELSE 'fetch' END AS tool FROM pages WHERE starts_with(url, 'https')")
+@query("CLS-19", "SELECT page_id, CASE WHEN contains(url, 'spam') THEN 'browser' WHEN contains(html, '<script') THEN 'curl' ELSE 'fetch' END AS tool FROM pages WHERE starts_with(url, 'https')")
 def web_tool(spark, sf):
     kind = F.when(F.contains("url", F.lit("spam")), "blocked or private").when(F.contains("html", F.lit("<script")), "raw html").otherwise("extract")
     p = table(spark, sf, "pages").withColumn("type", F.when(F.startswith("url", F.lit("https")), "page").otherwise("worker"))
     return ops.only_pages(p).select("page_id", strings.lookup(classify.WEB_TOOLS, kind).alias("tool"))
+
+
+@query("SRC-17", r"""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'raw html' WHEN 1 THEN 'links' ELSE 'text' END AS wanted, md5(CASE page_id % 3 WHEN 0 THEN html
+ WHEN 1 THEN concat_ws(chr(10), nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), ''), array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), chr(10)))
+ ELSE trim(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) END) AS content_md5 FROM pages""".replace("\\\\", "\\"))
+def page_fetch(spark, sf):
+    """A page as raw HTML, as title and links, or as visible text, by what is wanted of it."""
+    kind = F.when(F.col("page_id") % 3 == 0, "raw html").when(F.col("page_id") % 3 == 1, "links").otherwise("text")
+    return ops.fetched(table(spark, sf, "pages"), kind).select("page_id", "wanted", F.md5("content").alias("content_md5"))
+
+
+#: Browser targets as they are listed.
+_TARGETS = [("page", "https://a.example/"), ("service_worker", "https://a.example/sw.js"), ("iframe", "https://b.example/"), ("page", "about:blank"), ("background_page", "chrome-extension://x")]
+
+
+@query("SRC-12", f"SELECT n_nationkey, url FROM nation, (VALUES {sql_rows(_TARGETS)}) AS t(type, url) WHERE type = 'page'")
+def page_targets(spark, sf):
+    """The pages among the targets of a browser in each nation."""
+    targets = F.array(*(F.struct(F.lit(t).alias("type"), F.lit(u).alias("url")) for t, u in _TARGETS))
+    return ops.only_pages(table(spark, sf, "nation").select("n_nationkey", F.explode(targets).alias("t")).select("n_nationkey", "t.*")).select("n_nationkey", "url")

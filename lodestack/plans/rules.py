@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..catalog import query
+from ..catalog import query, sql_rows
 from ..functions import strings
 from ..operators import classify, registry
 from ..operators.rules import first_failure
@@ -63,12 +63,6 @@ def line_filter(spark, sf):
     return c.select("conv_id", "turn", registry.without_line(F.col("text"), "", F.col("role") == "system").alias("text"))
 
 
-@query("CLS-4", "SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'question chain' WHEN 1 THEN 'three questions' ELSE 'review' END AS primary_tool FROM nation")
-def gap_tools(spark, sf):
-    n = table(spark, sf, "nation").withColumn("wanted", F.when(F.col("n_nationkey") % 3 == 0, "object and question").when(F.col("n_nationkey") % 3 == 1, "choice").otherwise("review"))
-    return classify.gap_tools(spark, n, "wanted").select("n_nationkey", "primary_tool")
-
-
 @query("CLS-6 CLS-7 CLS-8 CLS-10 CLS-11 FIL-21 FIL-27", """SELECT s_suppkey, CASE WHEN a THEN 'reflection' ELSE 'planning' END AS timing, CASE WHEN a::INT + b::INT + c::INT <> 1 THEN 'full' WHEN a THEN 'niche' WHEN b THEN 'primitive' ELSE 'frugal' END AS lens,
  CASE WHEN c THEN 'expose' WHEN a THEN 'keep' WHEN b THEN 'defer' ELSE 'cut' END AS disposition, a::INT + b::INT + c::INT AS tests, CASE WHEN 2 * (a::INT + b::INT + c::INT) > 3 THEN 'primitive' ELSE 'solution' END AS shape,
  CASE WHEN c THEN 'global rule' WHEN b THEN 'skill' WHEN a THEN 'prompt' ELSE 'answer' END AS container, CASE WHEN a AND b THEN 'hybrid' WHEN a THEN 'structure-first' ELSE 'compilation-first' END AS mode, a AND s_suppkey % 4 >= 2 AND b AS fan_out
@@ -81,19 +75,19 @@ def decision_axes(spark, sf):
     )
 
 
-@query("CLS-9 CLS-16", "SELECT o_orderpriority, CASE WHEN regexp_matches(o_orderpriority, '(?i)urgent|high') THEN 'action' WHEN regexp_matches(o_orderpriority, '(?i)medium') THEN 'data' ELSE 'none' END AS kind, count(*) AS n FROM orders GROUP BY 1, 2")
-def primitive_kind(spark, sf):
-    return table(spark, sf, "orders").groupBy("o_orderpriority", classify.route(F.col("o_orderpriority"), [("action", "urgent|high"), ("data", "medium")]).alias("kind")).agg(F.count("*").alias("n"))
-
-
-@query("FN-D1 FN-D2", "SELECT o_orderkey, strftime(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d'), '%Y%m%d') AS day, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') AS INT) AS age FROM orders WHERE o_orderdate < TIMESTAMP '1998-08-02'")
+@query("FN-D1 FN-D2", "SELECT o_orderkey, strftime(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d'), '%Y%m%d') AS day, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') AS INT) AS age FROM orders")
 def order_age(spark, sf):
-    o = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1998-08-02").cast("timestamp_ntz"))
+    o = table(spark, sf, "orders")
     day = strings.iso_date(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.select("o_orderkey", F.date_format(day, "yyyyMMdd").alias("day"), F.datediff(F.lit("1998-08-02").cast("date"), day).alias("age"))
 
 
-@query("SRC-1 SRC-2 SRC-3 SRC-4 UDF-2 FIL-1 FIL-2 FIL-3 FIL-7 FIL-8 FIL-9 FIL-10", None)
+_HEADS = """SELECT CASE kind WHEN 0 THEN 'Skill is valid!' WHEN 1 THEN CASE WHEN n = upper(n) AND n = lower(n) THEN 'Skill is valid!' ELSE 'Name '''' should be hyphen-case (lowercase letters, digits, and hyphens only)' END
+ WHEN 2 THEN 'Unexpected key(s) in SKILL.md frontmatter: extra. Allowed properties are: allowed-tools, description, license, metadata, name' WHEN 3 THEN 'No YAML frontmatter found' WHEN 4 THEN 'Name must be a string, got int' ELSE 'SKILL.md not found' END AS message, kind = 0 AS valid
+ FROM (SELECT p_partkey % 6 AS kind, replace(p_name, ' ', '-') AS n FROM part)"""
+
+
+@query("SRC-1 SRC-2 SRC-3 SRC-4 UDF-2 FIL-1 FIL-3 FIL-9", f"SELECT valid, message, count(*) AS n FROM ({_HEADS}) GROUP BY 1, 2")
 def frontmatter_validate(spark, sf):
     """Documents made from the parts table, valid and faulty ones, run through the validator."""
     from ..operators.validate import validate
@@ -107,3 +101,46 @@ def frontmatter_validate(spark, sf):
     head = head.when(kind == 4, F.concat(F.lit("---\nname: "), F.col("p_partkey").cast("string"), F.lit("\ndescription: x\n---\n")))
     folders = p.select(F.concat(name, F.lit("-"), F.col("p_partkey").cast("string")).alias("name"), head.cast("binary").alias("content"))
     return validate(folders).groupBy("valid", F.regexp_replace("message", "'[^']*'", "''").alias("message")).agg(F.count("*").alias("n"))
+
+
+_X = "---\nname: {}\ndescription: {}\n---\n"
+#: Header contents and the message of each; null stands for a missing file.
+_HEADER_CASES = [
+    ("missing file", None, "SKILL.md not found"),
+    ("bad UTF-8", b"\xff", "SKILL.md must be valid UTF-8:"),
+    ("BOM", "\ufeff---\nname: a\n---\n", "No YAML frontmatter found"),
+    ("no fence", "hello", "No YAML frontmatter found"),
+    ("unclosed", "---\nname: a\n", "Invalid frontmatter format"),
+    ("empty header", "---\n---\n", "Invalid frontmatter format"),
+    ("bad YAML", "---\nname: [\n---\n", "Invalid YAML in frontmatter:"),
+    ("list header", "---\n- a\n---\n", "Frontmatter must be a YAML dictionary"),
+    ("extra key and no name", "---\nfoo: 1\n---\n", "Unexpected key(s) in SKILL.md frontmatter: foo. Allowed properties are: allowed-tools, description, license, metadata, name"),
+    ("no name", "---\ndescription: x\n---\n", "Missing 'name' in frontmatter"),
+    ("no description", "---\nname: a\n---\n", "Missing 'description' in frontmatter"),
+    ("int name", _X.format("123", "x"), "Name must be a string, got int"),
+    ("upper-case", _X.format("Ab", "x"), "Name 'Ab' should be hyphen-case (lowercase letters, digits, and hyphens only)"),
+    ("first hyphen", _X.format("-a", "x"), "Name '-a' cannot start or end with a hyphen or contain consecutive hyphens"),
+    ("last hyphen", _X.format("a-", "x"), "Name 'a-' cannot start or end with a hyphen or contain consecutive hyphens"),
+    ("two hyphens", _X.format("a--b", "x"), "Name 'a--b' cannot start or end with a hyphen or contain consecutive hyphens"),
+    ("64 characters", _X.format("a" * 64, "x"), "Skill is valid!"),
+    ("65 characters", _X.format("a" * 65, "x"), "Name is too long (65 characters). Maximum is 64 characters."),
+    ("list description", _X.format("a", "[a]"), "Description must be a string, got list"),
+    ("brackets", _X.format("a", "a -> b"), "Description cannot contain angle brackets (< or >)"),
+    ("1024 characters", _X.format("a", "x" * 1024), "Skill is valid!"),
+    ("1025 characters", _X.format("a", "x" * 1025), "Description is too long (1025 characters). Maximum is 1024 characters."),
+    ("empty name and description", _X.format('""', '""'), "Skill is valid!"),
+    ("CRLF", _X.format("a", "x").replace("\n", "\r\n"), "Skill is valid!"),
+    ("four dashes", "---\nname: a\ndescription: x\n----\n", "Skill is valid!"),
+]
+
+
+@query("SRC-1 SRC-2 SRC-3 SRC-4 UDF-2 FIL-1 FIL-2 FIL-3 FIL-4 FIL-5 FIL-6 FIL-7 FIL-8 FIL-9 FIL-10", f"SELECT n_nationkey, name, message, message = 'Skill is valid!' AS valid FROM nation, (VALUES {sql_rows([(name, message) for name, _, message in _HEADER_CASES])}) AS c(name, message)")
+def header_cases(spark, sf):
+    """Every rule of the header contract, one case a row, in a folder of each nation; messages with a reason of the parser's end at the colon."""
+    from ..operators.validate import validate
+
+    own = F.concat_ws("/", F.col("n_nationkey").cast("string"), "c.name").alias("name")
+    rows = table(spark, sf, "nation").select("n_nationkey", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.lit(c if isinstance(c, bytes) or c is None else c.encode()).cast("binary").alias("content")) for n, c, _ in _HEADER_CASES))).alias("c"))
+    found = validate(rows.select(own, "c.content"))
+    message = F.regexp_replace("message", "(?s)^(SKILL.md must be valid UTF-8:|Invalid YAML in frontmatter:).*", "$1")
+    return found.select(F.split_part("name", F.lit("/"), F.lit(1)).cast("int").alias("n_nationkey"), F.split_part("name", F.lit("/"), F.lit(2)).alias("name"), message.alias("message"), "valid")

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..catalog import QUERIES, query
+from ..catalog import query, sql_rows
 from ..functions import strings
 from ..operators import pages as page_ops
 from ..operators.inventory import one_inventory
 from ..schemas import EVAL_SET
 from ..session import table
 from ..sources import documents, sinks
-from ..streaming.intake import scratch
+from ..sources.shared import scratch
 
 
 @query("SRC-9 SNK-9 PRJ-1 FIL-16", r"""SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT regexp_matches(text, '[\w.+-]+@[\w-]+\.[\w.]+')""")
 def published_csv(spark, sf):
     """Rows that pass a gate, written as CSV in a folder of their own and read with their schema."""
-    at = scratch(spark)
+    at = scratch(spark, "files")
     d = table(spark, sf, "documents")
     sinks.publish(d, f"{at}/public", F.col("text").rlike(r"[\w.+-]+@[\w-]+\.[\w.]+"), ["doc_id", "lang", "source", "n_chars"])
     spark.read.parquet(f"{at}/public").write.csv(f"{at}/csv", header=True, escape='"')
@@ -27,7 +27,7 @@ def published_csv(spark, sf):
 @query("SRC-8 D6 FN-J1 FN-J3", "SELECT 'conv-' || conv_id AS skill_name, CAST(turn AS INT) AS id, text AS prompt, role AS expected_output FROM conversations")
 def json_documents(spark, sf):
     """Conversations as eval sets: JSON documents written, read with an explicit schema, unpacked."""
-    at = scratch(spark)
+    at = scratch(spark, "files")
     c = table(spark, sf, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(F.col("turn").cast("int").alias("id"), F.col("text").alias("prompt"), F.col("role").alias("expected_output"), F.array().cast("array<string>").alias("files")))).alias("evals"))
     c.select(F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("skill_name"), "evals").write.json(f"{at}/evals")
     sets = spark.read.schema(EVAL_SET).json(f"{at}/evals")
@@ -45,7 +45,7 @@ def listing_unpack(spark, sf):
 @query("SNK-3 SNK-4 SNK-7 SNK-11 FIL-13", "SELECT 'ignored' AS step, count(*) AS n FROM nation UNION ALL SELECT 'forced', count(*) FROM region UNION ALL SELECT 'appended', 2 * count(*) FROM region UNION ALL SELECT 'snapshot', 2 * count(*) FROM region UNION ALL SELECT 'pruned', count(*) FROM nation WHERE n_nationkey % 5 <> 0")
 def save_modes(spark, sf):
     """A target skipped if there, overwritten, appended to, kept as a snapshot, and replaced by pruned rows."""
-    at = scratch(spark)
+    at = scratch(spark, "files")
     nation, region = table(spark, sf, "nation").select("n_nationkey"), table(spark, sf, "region").select(F.col("r_regionkey").alias("n_nationkey"))
     steps = []
 
@@ -107,14 +107,49 @@ def stripped(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", strings.strip_unicode(F.concat(F.lit(" \t"), F.col("text"), F.lit("\n"))).alias("text"))
 
 
-@query("STR-3 STR-5 SRC-10", "SELECT event_id, CASE WHEN value <= 15 THEN 'complete' ELSE 'timeout' END AS status, CAST(least(ceil(value / 0.5), 30) AS INT) AS polls FROM events")
-def poll_status(spark, sf):
-    """Polling every half second up to 15 seconds: what became of each wait is a column, for callers to heed."""
-    v = F.col("value")
-    return table(spark, sf, "events").select("event_id", F.when(v <= 15, "complete").otherwise("timeout").alias("status"), F.least(F.ceil(v / 0.5), F.lit(30)).cast("int").alias("polls"))
+#: Contents of port files, and the port and path that each gives.
+_PORTS = [("9222\n/devtools/browser/a-b\n", 9222, "/devtools/browser/a-b"), ("9229", 9229, None), (" 8080 \n\n", 8080, None), ("70000\n/x", None, None), ("0\n/x", None, None), ("abc", None, None), ("", None, None), ("65535x\n/y", 65535, "/y"), ("-1", None, None)]
 
 
-@query("UDF-4", None)
-def function_registry(spark, sf):
-    """The named queries as rows: name, operators shown, and whether SQL checks them."""
-    return spark.createDataFrame([(n, list(q.operators), q.sql is not None) for n, q in sorted(QUERIES.items())], "name string, operators array<string>, has_sql boolean")
+@query("SRC-10", f"SELECT s_suppkey, port, path FROM supplier JOIN (VALUES {sql_rows([(i, port, path) for i, (_, port, path) in enumerate(_PORTS)])}) AS p(i, port, path) ON i = s_suppkey % {len(_PORTS)}")
+def port_files(spark, sf):
+    """A port file for each supplier, parsed: the first line a port, the second a path if there is one."""
+    content = F.element_at(F.array(*(F.lit(x) for x, _, _ in _PORTS)), (F.col("s_suppkey") % len(_PORTS) + 1).cast("int"))
+    return table(spark, sf, "supplier").select("s_suppkey", documents.port_file(content).alias("p")).select("s_suppkey", F.col("p.port").alias("port"), F.col("p.path").alias("path"))
+
+
+@query("SRC-5 SRC-6 SORT-1 PRJ-4", "SELECT n_name AS folder, 'notes.txt' AS relative, length(n_name) + 10 AS length FROM nation UNION ALL SELECT n_name, 'sub/name.txt', length(n_name) + 1 FROM nation")
+def folder_walk(spark, sf):
+    """Two files for each nation written and walked: folder, path below it and size."""
+    at = f"{scratch(spark, 'walk')}/root"
+    n = table(spark, sf, "nation").select("n_name")
+    for part, text in (("notes.txt", F.concat(F.lit("notes on "), F.col("n_name"))), ("sub/name.txt", F.col("n_name"))):
+        folder, _, name = part.rpartition("/")
+        rows = n.select(text.alias("value"), F.col("n_name").alias("top"))
+        rows.write.partitionBy("top").mode("overwrite").text(f"{at}/{folder or 'here'}/{name}")
+    files = documents.walk(spark, at, content=False)
+    parts = F.split("relative", "/")  # kind, file name, top=<nation>, Spark's part file
+    at_top = F.when(F.get(parts, F.lit(0)) == "here", F.get(parts, F.lit(1))).otherwise(F.concat_ws("/", F.get(parts, F.lit(0)), F.get(parts, F.lit(1))))
+    return files.select(F.regexp_replace(F.get(parts, F.lit(2)), "^top=", "").alias("folder"), at_top.alias("relative"), F.col("length").cast("long").alias("length"))
+
+
+_TEMPLATES = {"SKILL.md": "---\nname: {{NAME}}\n---\n# {{TITLE}}\n", "scripts/example.py": "print('{{NAME}}')\n"}
+
+
+@query("SNK-1 SNK-2 FN-S1 FN-S3", "WITH f AS (SELECT DISTINCT replace(lower(n_name), '_', '-') AS folder FROM nation WHERE n_nationkey >= 5) SELECT folder, 'SKILL.md' AS relative, '---' || chr(10) || 'name: ' || folder || chr(10) || '---' || chr(10) || '# Nation ' || split_part(folder, '-', 2) || chr(10) AS content FROM f UNION ALL SELECT folder, 'scripts/example.py', 'print(''' || folder || ''')' || chr(10) FROM f")
+def scaffold_archives(spark, sf):
+    """A folder from templates for each nation, but for five that are there; archived, and read from the archives again."""
+    names = table(spark, sf, "nation").select("n_nationkey", F.translate(F.lower("n_name"), "_", "-").alias("folder"))
+    files = sinks.scaffolded(names, _TEMPLATES, names.where("n_nationkey < 5"))
+    back = sinks.unarchived(sinks.archived(files.withColumn("content", F.col("content").cast("binary"))))
+    return back.select("folder", "relative", F.col("content").cast("string").alias("content"))
+
+
+@query("SNK-10 AGG-14", "WITH v AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F') SELECT count(*) FILTER (v.k IS NOT NULL) AS cleaned, CAST(coalesce(sum(l_quantity) FILTER (v.k IS NOT NULL), 0) AS BIGINT) AS cleaned_size, count(*) FILTER (v.k IS NULL) AS kept FROM lineitem LEFT JOIN v ON v.k = l_orderkey")
+def cleaned_intermediates(spark, sf):
+    """Lines of verified orders are cleaned away: how many, their size, and what is left in the table."""
+    at = scratch(spark, "cleaned")
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").cast("long").alias("size"))
+    done = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"))
+    report = sinks.cleaned(lines, done, "k", "size", at)
+    return report.withColumn("kept", F.lit(spark.read.parquet(at).count()).cast("long"))

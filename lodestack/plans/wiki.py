@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import query
@@ -20,32 +21,39 @@ def degree_hub(spark, sf):
     return graph.degrees(_customer_supplier(spark, sf), "src", "dst")
 
 
-_NATION_EDGES = "e AS (SELECT DISTINCT c_nationkey AS src, CAST(o_orderkey % 25 AS INT) AS dst FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 25 < c_nationkey AND (c_nationkey + o_orderkey) % 7 = 0)"
+#: Who refers to whom: each customer to the first supplier of its nation, each supplier to the next of its nation, the last to the first.
+_REFERRALS = """e AS (SELECT 'c' || c_custkey AS src, 's' || f.s AS dst FROM customer JOIN (SELECT s_nationkey, min(s_suppkey) AS s FROM supplier GROUP BY 1) f ON s_nationkey = c_nationkey
+ UNION ALL SELECT 's' || s_suppkey, 's' || coalesce(lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), min(s_suppkey) OVER (PARTITION BY s_nationkey)) FROM supplier)"""
 
 
-def _nation_edges(spark, sf):
-    """A sparse graph on the nations."""
-    o = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").join(table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-    return o.where("o_orderkey % 25 < c_nationkey AND (c_nationkey + o_orderkey) % 7 = 0").select(F.col("c_nationkey").alias("src"), (F.col("o_orderkey") % 25).cast("int").alias("dst")).distinct()
+def _referrals(spark, sf):
+    """All customers and suppliers; a graph that is sparse at any size, as each node has one edge at most."""
+    c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    first = s.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.min("s_suppkey").alias("s"))
+    name = lambda kind, key: F.concat(F.lit(kind), key.cast("string"))
+    mine = Window.partitionBy("s_nationkey")
+    after = F.coalesce(F.lead("s_suppkey").over(mine.orderBy("s_suppkey")), F.min("s_suppkey").over(mine))
+    to_supplier = c.join(first, "c_nationkey").select(name("c", F.col("c_custkey")).alias("src"), name("s", F.col("s")).alias("dst"))
+    return to_supplier.unionByName(s.select(name("s", F.col("s_suppkey")).alias("src"), name("s", after).alias("dst")))
 
 
-@query("JOIN-19", f"WITH {_NATION_EDGES} SELECT DISTINCT a.src, b.dst FROM e a JOIN e b ON b.src = a.dst WHERE a.src <> b.dst AND NOT EXISTS (SELECT 1 FROM e x WHERE x.src = a.src AND x.dst = b.dst)")
+@query("JOIN-19", f"WITH {_REFERRALS} SELECT DISTINCT a.src, b.dst FROM e a JOIN e b ON b.src = a.dst WHERE a.src <> b.dst AND NOT EXISTS (SELECT 1 FROM e x WHERE x.src = a.src AND x.dst = b.dst)")
 def second_degree(spark, sf):
-    return graph.second_degree(_nation_edges(spark, sf))
+    return graph.second_degree(_referrals(spark, sf))
 
 
-@query("AGG-18 UDF-3", f"WITH RECURSIVE {_NATION_EDGES}, r AS (SELECT src, dst, 1 AS d FROM e UNION SELECT r.src, e.dst, r.d + 1 FROM r JOIN e ON e.src = r.dst WHERE r.d < 4) SELECT n_nationkey AS node, count(DISTINCT r.dst) FILTER (r.dst <> n_nationkey) AS downstream FROM nation LEFT JOIN r ON r.src = n_nationkey GROUP BY 1")
+@query("AGG-18 UDF-3", f"WITH RECURSIVE {_REFERRALS}, n AS (SELECT 'c' || c_custkey AS node FROM customer UNION ALL SELECT 's' || s_suppkey FROM supplier), r AS (SELECT src, dst, 1 AS d FROM e UNION SELECT r.src, e.dst, r.d + 1 FROM r JOIN e ON e.src = r.dst WHERE r.d < 4) SELECT node, count(DISTINCT r.dst) FILTER (r.dst <> node) AS downstream FROM n LEFT JOIN r ON r.src = node GROUP BY 1")
 def downstream_effects(spark, sf):
-    return graph.downstream(table(spark, sf, "nation").select("n_nationkey"), _nation_edges(spark, sf), 4)
+    nodes = table(spark, sf, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node")).unionByName(table(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("node")))
+    return graph.downstream(nodes, _referrals(spark, sf), 4)
 
 
-@query("UDF-3", "WITH RECURSIVE e AS (SELECT DISTINCT c_nationkey AS src, CAST(c_custkey % 25 AS INT) AS dst FROM customer WHERE c_custkey < 60), r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON e.src = r.dst) SELECT src AS node FROM r WHERE src = dst")
+@query("UDF-3", f"WITH RECURSIVE {_REFERRALS}, r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON e.src = r.dst) SELECT src AS node FROM r WHERE src = dst")
 def feedback_loops(spark, sf):
-    e = table(spark, sf, "customer").where("c_custkey < 60").select(F.col("c_nationkey").alias("src"), (F.col("c_custkey") % 25).cast("int").alias("dst"))
-    return graph.on_cycle(e, 25)
+    return graph.on_cycle(_referrals(spark, sf))
 
 
-@query("JOIN-12 SET-2", "WITH m AS (SELECT DISTINCT o_orderkey AS grp, l_suppkey AS node FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 10 = 0), p AS (SELECT DISTINCT a.node AS src, b.node AS dst FROM m a JOIN m b ON a.grp = b.grp AND a.node < b.node), e AS (SELECT DISTINCT least(s_suppkey, (s_suppkey + 1) % 50) AS src, greatest(s_suppkey, (s_suppkey + 1) % 50) AS dst FROM supplier) SELECT src, dst FROM p EXCEPT SELECT src, dst FROM e")
+@query("JOIN-12 SET-2", "WITH m AS (SELECT DISTINCT o_orderkey AS grp, l_suppkey AS node FROM orders JOIN lineitem ON l_orderkey = o_orderkey), p AS (SELECT DISTINCT a.node AS src, b.node AS dst FROM m a JOIN m b ON a.grp = b.grp AND a.node < b.node), e AS (SELECT DISTINCT least(s_suppkey, (s_suppkey + 1) % 50) AS src, greatest(s_suppkey, (s_suppkey + 1) % 50) AS dst FROM supplier) SELECT src, dst FROM p EXCEPT SELECT src, dst FROM e")
 def missing_links(spark, sf):
     """Suppliers met in one order without a link; an order stands for a page."""
     m = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("grp"), F.col("l_suppkey").alias("node")).distinct()
@@ -60,7 +68,7 @@ def unpromoted_sources(spark, sf):
     return wiki.unpromoted(c, e).select("page_id")
 
 
-@query("JOIN-14 SNK-10", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+@query("JOIN-14", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
 def undocumented_parts(spark, sf):
     done = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
     return wiki.undocumented(table(spark, sf, "part"), done, "p_partkey").select("p_partkey")

@@ -115,3 +115,11 @@ def inline_table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 def first_source(*candidates: F.Column) -> F.Column:
     """The first candidate that is there (SRC-11)."""
     return F.coalesce(*candidates)
+
+
+def port_file(text: F.Column) -> F.Column:
+    """Port and path of a port file as a struct (SRC-10): the first line's leading digits between 1 and 65535, and the second line if it isn't empty; null without a port."""
+    lines = F.split(F.btrim(text, F.lit(" \t\r\n")), "\n")
+    digits = F.regexp_extract(F.get(lines, F.lit(0)), r"^\s*([+-]?[0-9]{1,9})", 1)
+    port = F.when(digits != "", digits.cast("int"))
+    return F.when((port > 0) & (port < 65536), F.struct(port.alias("port"), F.nullif(F.get(lines, F.lit(1)), F.lit("")).alias("path")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.strings import fill, title_case
 from ..schemas import PUBLIC_COLUMNS
 
 
@@ -38,6 +42,41 @@ def scaffold(root: str, name: str, files: dict[str, str]) -> str:
     return str(target)
 
 
+def archived(files: DataFrame, folder: str = "folder") -> DataFrame:
+    """folder and data: a deflated zip of each folder's files (relative, content), made where the files are (SNK-1).
+
+    A folder comes together in one task, as a zip file is one file.
+    """
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, content in sorted(zip(group["relative"], group["content"], strict=True)):
+                z.writestr(zipfile.ZipInfo(name), bytes(content or b""), zipfile.ZIP_DEFLATED)
+        return pd.DataFrame({"folder": [group["folder"].iloc[0]], "data": [out.getvalue()]})
+
+    return files.select(F.col(folder).alias("folder"), "relative", "content").groupBy("folder").applyInPandas(pack, "folder string, data binary")
+
+
+def unarchived(archives: DataFrame) -> DataFrame:
+    """folder, relative and content of the files in each archive (folder, data)."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder, data in zip(batch["folder"], batch["data"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(data)) as z:
+                    yield pd.DataFrame([(folder, i.filename, z.read(i)) for i in z.infolist()], columns=["folder", "relative", "content"])
+
+    return archives.select("folder", "data").mapInPandas(unpack, "folder string, relative string, content binary")
+
+
+def scaffolded(names: DataFrame, files: dict[str, str], there: DataFrame) -> DataFrame:
+    """folder, relative and content of new folders (column ``folder``) from templates with {{NAME}} and {{TITLE}}; folders that are ``there`` are refused: they get no row (SNK-2)."""
+    new = names.select("folder").distinct().join(there.select("folder").distinct(), "folder", "left_anti")
+    rows = F.array(*(F.struct(F.lit(r).alias("relative"), fill(t, NAME=F.col("folder"), TITLE=title_case(F.col("folder"))).alias("content")) for r, t in files.items()))
+    return new.select("folder", F.explode(rows).alias("f")).select("folder", "f.relative", "f.content")
+
+
 def write_if_absent(df: DataFrame, path: str, force: bool = False) -> None:
     """Skips a target that is there, unless forced (SNK-3)."""
     df.write.mode("overwrite" if force else "ignore").parquet(path)
@@ -77,8 +116,14 @@ def publish(df: DataFrame, path: str, blocked: F.Column, columns: list[str] = PU
 
 
 def cleanable(intermediates: DataFrame, verified: DataFrame, key: str) -> DataFrame:
-    """Intermediates whose notes are verified, with their size; deleting is left to the caller (SNK-10)."""
-    return intermediates.join(verified, key, "left_semi")
+    """Intermediates whose notes are verified (SNK-10)."""
+    return intermediates.join(verified.select(key).distinct(), key, "left_semi")
+
+
+def cleaned(intermediates: DataFrame, verified: DataFrame, key: str, size: str, path: str) -> DataFrame:
+    """Writes what is left of the intermediates to ``path``, and returns files and size that were cleaned (SNK-10, AGG-14)."""
+    intermediates.join(verified.select(key).distinct(), key, "left_anti").write.mode("overwrite").parquet(path)
+    return cleanable(intermediates, verified, key).agg(F.count("*").alias("cleaned"), F.coalesce(F.sum(size), F.lit(0)).alias("cleaned_size"))
 
 
 def snapshot(df: DataFrame, root: str, stamp: str) -> str:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.shared import scratch
+
 
 def take_in(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, key: str) -> None:
     """Reads the files that are new since the last call and appends items whose key isn't in the target yet.
@@ -31,17 +30,11 @@ def take_in(spark: SparkSession, source: str, schema: StructType, target: str, c
     stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodestack-")
-    return f"{where.rstrip('/')}/intake-{uuid.uuid4().hex}"
-
-
 def demo_two_batches(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
-    """The target after three calls: the first half, all rows, and nothing new."""
-    at = scratch(spark)
+    """The target after three calls: the even keys, all rows, and nothing new."""
+    at = scratch(spark, "intake")
     source, target, checkpoint = f"{at}/source", f"{at}/target", f"{at}/checkpoint"
-    half = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    half = F.pmod(F.col(key), F.lit(2)) == 0
     for part in (rows.where(half), rows, None):
         if part is not None:
             part.write.mode("append").parquet(source)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestack.functions import finance as fn
 from lodestack.functions import strings as st
-from lodestack.operators import classify, evolve, graph, inventory, metrics, pages, registry, textstyle, wiki
+from lodestack.operators import classify, evolve, graph, inventory, metrics, pages, registry, tables, textstyle, wiki
 from lodestack.operators.rules import count_true, first_failure
 from lodestack.operators.validate import OK, validate
 from lodestack.sources import documents, sinks
@@ -95,7 +95,7 @@ def test_graph(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "src string, dst string")
     assert {r["page_id"] for r in wiki.orphans(nodes, edges).collect()} == {"d", "e"}
     assert {r["node"]: r["downstream"] for r in graph.downstream(nodes, edges, 4).collect()} == {"a": 2, "b": 2, "c": 2, "d": 3, "e": 0}
-    assert {r["node"] for r in graph.on_cycle(edges, 5).collect()} == {"a", "b", "c"}
+    assert {r["node"] for r in graph.on_cycle(edges).collect()} == {"a", "b", "c"}
     assert {(r["src"], r["dst"]) for r in graph.reachable(edges, 1).collect()} == {tuple(r) for r in edges.collect()}
     assert {(r["src"], r["dst"]) for r in graph.second_degree(edges).collect()} == {("a", "c"), ("b", "a"), ("c", "b"), ("d", "b")}
     dated = nodes.withColumn("type", F.lit("sources"))
@@ -181,8 +181,12 @@ def test_rules_and_classes(spark):
     L = F.lit
     assert one(spark, first_failure([(L(None).cast("boolean"), "a"), (L(True), "b"), (L(True), "c")]))[0] == "b"
     assert one(spark, count_true(L(True), L(None).cast("boolean"), L(False)))[0] == 1
-    assert [one(spark, classify.route(L(x), classify.ROUTES))[0] for x in ("请帮我分析一下", "整理笔记", "写公众号", "x")] == ["thinking", "notes", "article", "none"]
-    assert one(spark, classify.route(L("帮我写一篇"), classify.WRITING_MODES))[0] == "draft"
+    assert [one(spark, classify.route(L(x), tables.ROUTES))[0] for x in ("请帮我分析一下", "整理笔记", "写公众号", "x")] == ["思维分析", "笔记处理", "公众号创作", "none"]
+    rules = [(p, m, d) for m, p, d in tables.WRITING_MODES]
+    assert one(spark, classify.matched(L("帮我写一篇"), rules, ["mode", "deliverable"])["deliverable"])[0] == "完整初稿"
+    assert one(spark, classify.matched(L("x"), rules, ["mode", "deliverable"]))[0] is None
+    with pytest.raises(ValueError):
+        classify.bounded_rows(spark.range(5), 4)
     roles = ["a/.git/x", "tmp/a", "wiki/a.md", "a.py", "outputs/a", "a.md", "raw/b.md"]
     assert [one(spark, classify.file_role(L(x)))[0] for x in roles] == ["noise", "temporary", "knowledge", "script", "output", "raw", "raw"]
     assert [one(spark, classify.workspace_mode(L(a), L(b)))[0] for a, b in ((True, True), (True, False), (False, True), (False, False))] == ["hybrid", "structure-first", "compilation-first", "compilation-first"]
@@ -224,3 +228,38 @@ def test_properties(spark):
     both = registry.consistency(a, b, "k")
     assert both.count() == a.union(b).distinct().count()
     assert inventory.unprocessed(a, b, "k").count() + a.join(b, "k", "left_semi").count() == a.count()
+
+
+def test_port_file(spark):
+    got = [one(spark, documents.port_file(F.lit(x)))[0] for x in ("9222\n/p", "9222", "0", "65536", "x", "\n 80\n", None)]
+    assert [r and tuple(r) for r in got] == [(9222, "/p"), (9222, None), None, None, None, (80, None), None]
+
+
+def test_archives_and_scaffolds(spark):
+    files = spark.createDataFrame([("a", "x/1.txt", b"one"), ("a", "2.txt", b""), ("b", "é.txt", None)], "folder string, relative string, content binary")
+    back = {(r["folder"], r["relative"], bytes(r["content"])) for r in sinks.unarchived(sinks.archived(files)).collect()}
+    assert back == {("a", "x/1.txt", b"one"), ("a", "2.txt", b""), ("b", "é.txt", b"")}
+    assert sinks.unarchived(sinks.archived(files.where("false"))).count() == 0
+    names = spark.createDataFrame([("my-api",), ("my-api",), ("old",)], "folder string")
+    got = sinks.scaffolded(names, {"R.md": "{{NAME}}: {{TITLE}}"}, spark.createDataFrame([("old",)], "folder string")).collect()
+    assert [tuple(r) for r in got] == [("my-api", "R.md", "my-api: My Api")]
+
+
+def test_reachable_at_any_distance(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 31), (31, 30)], "src long, dst long")
+    assert graph.reachable(chain).count() == 20 * 21 // 2 + 4
+    assert {r["node"] for r in graph.on_cycle(chain).collect()} == {30, 31}
+    assert graph.reachable(chain, 3).where("src = 0").count() == 3
+    assert graph.reachable(chain, 0).count() == 0
+
+
+def test_backtest(spark):
+    rows = spark.createDataFrame([(1, 1.0, 5.0), (2, 2.0, 6.0), (3, 1.0, 7.0), (4, 2.0, 6.0), (5, 3.0, 9.0)], "p int, x double, y double")
+    assert tuple(metrics.backtest(rows, "x", "y", [], "p").first()) == (3, 3, 1.0)
+
+
+def test_site_notes_are_bounded(spark, monkeypatch):
+    texts = spark.createDataFrame([("打开微信公众号后台",), ("WECHAT mp login",), ("mpXweixinXqqXcom",), ("example.org",), ("",), (None,)], "t string")
+    notes = spark.createDataFrame([("mp.weixin.qq.com", "微信公众号|wechat mp", "b"), ("other.site", None, None)], "domain string, aliases string, body string")
+    assert sorted(r["t"] for r in pages.site_match(texts, "t", notes).collect()) == ["WECHAT mp login", "mpXweixinXqqXcom", "打开微信公众号后台"]
+    assert pages.site_match(texts, "t", notes.where("false")).count() == 0

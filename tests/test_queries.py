@@ -12,18 +12,6 @@ def test_query_equals_sql(name, same_rows):
     same_rows(QUERIES[name].run, QUERIES[name].sql)
 
 
-def test_incremental_intake_adds_each_item_once(spark):
-    rows = QUERIES["incremental_intake"].run(spark, "/root/testdata/sf0.001").collect()
-    total = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
-    assert sum(r["items"] for r in rows) == sum(r["distinct_items"] for r in rows) == total
-
-
-def test_frontmatter_query_gives_all_outcomes(spark):
-    rows = {r["message"]: r["n"] for r in QUERIES["frontmatter_validate"].run(spark, "/root/testdata/sf0.001").collect()}
-    assert sum(rows.values()) == 200
-    assert {"Skill is valid!", "SKILL.md not found", "No YAML frontmatter found", "Name must be a string, got int"} <= set(rows)
-
-
 def test_minimum_pages_ranks_by_all_words(spark):
     words = lambda t: {w for w in (t or "").split(" ") if w}
     read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")

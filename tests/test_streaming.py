@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestack.streaming.correlate import match_requests, match_stream
 from lodestack.streaming.intake import daily_counts, take_in
+from lodestack.streaming.sessions import connection_counts, polled, session_stream
 
 
 def test_second_call_adds_nothing(spark, tmp_path):
@@ -51,3 +52,38 @@ def test_daily_counts_takes_zoneless_times(spark, tmp_path):
     q = daily_counts(stream, "ts").writeStream.outputMode("append").format("memory").queryName("days").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["n"] for r in spark.sql("SELECT n FROM days ORDER BY day").collect()][:2] == [2, 1]
+
+
+EVENTS = [(1, 0, "attach", "a"), (1, 1, "attach", "b"), (1, 2, "request", "q"), (1, 3, "detach", "a"), (2, 0, "attach", "a"), (2, 1, "request", "q"), (2, 2, "disconnect", None), (2, 3, "attach", "c"), (3, 0, "request", "q"), (3, 500, "response", "z"), (4, 5, "disconnect", None)]
+
+
+def _events(spark):
+    at = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(c, at + dt.timedelta(seconds=n), n, k, i) for c, n, k, i in EVENTS], "connection long, at timestamp, number int, kind string, item string")
+
+
+def test_disconnect_clears_sessions_but_not_requests(spark):
+    got = {r["connection"]: (r["sessions"], r["pending"]) for r in connection_counts(_events(spark), "connection", "at", "number", "30 seconds").collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 0), 4: (0, 0)}
+
+
+def test_session_stream_ends_where_the_table_does(spark, tmp_path):
+    source, out = str(tmp_path / "e"), str(tmp_path / "out")
+    events = _events(spark)
+    for number, part in enumerate((events.where("number < 2"), events.where("number >= 2"))):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source).withWatermark("at", "1 hour")
+        put = lambda df, n, number=number: df.withColumn("call", F.lit(number)).write.mode("append").parquet(out)
+        session_stream(stream).writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    last = spark.read.parquet(out).groupBy("connection").agg(F.max_by("sessions", "call").alias("n"))
+    batch = connection_counts(events, "connection", "at", "number", "30 seconds")
+    assert {r["connection"]: r["n"] for r in last.collect()} == {r["connection"]: r["sessions"] for r in batch.collect()}
+
+
+def test_polled(spark):
+    at = dt.datetime(2024, 1, 1)
+    s = lambda n: at + dt.timedelta(seconds=n)
+    waits = spark.createDataFrame([(1, 1, s(0)), (2, 2, s(0)), (3, 3, s(0)), (4, 4, s(0))], "id long, k long, asked timestamp")
+    ready = spark.createDataFrame([(1, s(1.2)), (2, s(0)), (3, s(14.9))], "k long, done timestamp")
+    got = {r["id"]: (r["status"], r["polls"]) for r in polled(waits, ready, ["k"], "id", "asked", "done").collect()}
+    assert got == {1: ("complete", 3), 2: ("complete", 1), 3: ("timeout", 29), 4: ("timeout", 29)}
