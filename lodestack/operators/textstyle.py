@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+from .classify import bounded_rows
+
 # Patterns of stock sentences, label endings, attributions and abstract words.
 CLICHES = ["不是[^。！？\\n]{0,40}而是", "黄金", "这，才是", "核心", "首先其次最后", "综上所述", "值得注意的是"]
 LABEL_ENDINGS = ["以上就是全部内容", "希望对你有所帮助", "欢迎点赞收藏转发"]
@@ -61,3 +64,31 @@ def entropy(df: DataFrame, key: str, text: str) -> DataFrame:
     t = df.select(key, F.explode(tokens(F.col(text))).alias("t")).groupBy(key, "t").agg(F.count("*").alias("n"))
     # H = log2(N) - sum(n log2 n) / N: one more grouping, no join.
     return t.groupBy(key).agg((F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias("entropy"))
+
+
+def holding(docs: DataFrame, key: str, text: str, passages: DataFrame, item: str, passage: str, size: int = 4) -> DataFrame:
+    """(key, item) of the texts that hold a whole passage.
+
+    A passage's inner words, all but the first and last, stand whole in a text
+    that holds it.  So windows of ``size`` words are hashed on both sides; of
+    each passage only the window that is rarest in the texts is joined, and those
+    pairs are confirmed.  Passages too short for a window are a rule table of
+    bounded size, and each is looked for in every text.
+    """
+    windows = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.xxhash64(F.slice(w, i, size))))
+    words = lambda c: F.split(c, " ")
+    inner = F.slice(words(passage), 2, F.greatest(F.size(words(passage)) - 2, F.lit(0)))
+    p = passages.select(item, passage, inner.alias("_w"))
+    keyed = p.where(F.size("_w") >= size).select(item, F.explode(windows("_w")).alias("_k"))
+    t = docs.select(key, words(text).alias("_w")).where(F.size("_w") >= size).select(key, F.explode(windows("_w")).alias("_k"))
+    met = stored(t.join(keyed.select("_k").distinct(), "_k"), "windows")  # texts' windows that a passage has
+    often = met.groupBy("_k").agg(F.count("*").alias("_n"))
+    rarest = keyed.join(often, "_k", "left").groupBy(item).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_k").alias("k"))).alias("_r")).where("_r.n > 0").select(item, F.col("_r.k").alias("_k"))
+    near = met.join(rarest, "_k").select(key, item).distinct()
+    found = near.join(passages.select(item, passage), item).join(docs.select(key, text), key).where(F.contains(text, passage)).select(key, item)
+    short = [(r[item], r[passage]) for r in bounded_rows(p.where(F.size("_w") < size))]
+    if not short:
+        return found
+    kind = passages.schema[item].dataType
+    hits = F.array(*(F.when(F.contains(text, F.lit(x)), F.lit(i).cast(kind)) for i, x in short))
+    return found.unionByName(docs.select(key, F.explode(F.filter(hits, lambda h: h.isNotNull())).alias(item)))

@@ -61,22 +61,10 @@ def backstage_phrases(spark, sf):
 
 @query("FIL-16 JOIN-9", """WITH w AS (SELECT item_id, text, len(string_split(text, ' ')) AS n FROM benchmark) SELECT DISTINCT d.doc_id, w.item_id FROM documents d JOIN w ON contains(d.text, w.text)""")
 def benchmark_leak(spark, sf):
-    """Documents that hold a whole benchmark passage.
-
-    An equi-join on hashed windows of the passage's first characters would need
-    the passages' lengths; so windows as long as the shortest passage are hashed
-    on both sides, joined, and only those pairs are confirmed.
-    """
+    """Documents that hold a whole benchmark passage."""
     items = table(spark, sf, "benchmark").where("text IS NOT NULL AND text != ''").select("item_id", F.col("text").alias("passage"))
-    docs = table(spark, sf, "documents").where("text IS NOT NULL")
-    words = lambda c: F.slice(F.split(c, " "), 2, 4)  # noqa: E731  words 2 to 5 of a passage stand whole inside a text
-    key = items.withColumn("k", F.when(F.size(F.split("passage", " ")) >= 6, F.xxhash64(words("passage"))))
-    t = docs.select("doc_id", "text", F.split("text", " ").alias("w"))
-    windows = t.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 3, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, 4))))).alias("k"))
-    long = windows.join(key.where("k IS NOT NULL"), "k").select("doc_id", "item_id").distinct()
-    short = key.where("k IS NULL")
-    met = long.join(items, "item_id").join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", "passage")).select("doc_id", "item_id")
-    return met.unionByName(docs.join(short, F.contains("text", "passage")).select("doc_id", "item_id")).distinct()
+    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", "text")
+    return textstyle.holding(docs, "doc_id", "text", items, "item_id", "passage")
 
 
 @query("AGG-1 AGG-3 AGG-14", "SELECT source, count(*) AS sources, count(l.doc_id) AS processed, count(*) - count(l.doc_id) AS unprocessed, count(*) - count(DISTINCT text) AS duplicates, CAST(sum(length(text)) AS BIGINT) AS size FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) GROUP BY source")

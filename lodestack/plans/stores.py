@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import inspect
+import re
+
 from pyspark.sql import functions as F
 
 from ..catalog import query, sql_rows
 from ..functions import strings
 from ..operators import pages as page_ops
 from ..operators.inventory import one_inventory
-from ..schemas import EVAL_SET
+from ..schemas import EVAL_SET, TABLES
 from ..session import table
 from ..sources import documents, sinks
 from ..sources.shared import scratch
@@ -153,3 +156,16 @@ def cleaned_intermediates(spark, sf):
     done = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"))
     report = sinks.cleaned(lines, done, "k", "size", at)
     return report.withColumn("kept", F.lit(spark.read.parquet(at).count()).cast("long"))
+
+
+@query("UDF-4")
+def tool_catalogue(spark, sf):
+    """The named queries as tools: name, purpose, the tables that each reads, and the operators shown."""
+    from ..catalog import QUERIES
+
+    def described(name, q):
+        read = {*re.findall(r'table\(spark, sf, "(\w+)"\)', inspect.getsource(q.run)), *re.findall(r"(?:FROM|JOIN) (\w+)", q.sql or "")}
+        tables = sorted(read & set(TABLES))
+        return name, " ".join((q.run.__doc__ or name.replace("_", " ")).split()), tables, list(q.operators)
+
+    return spark.createDataFrame([described(n, q) for n, q in sorted(QUERIES.items())], "name string, purpose string, inputs array<string>, operators array<string>")

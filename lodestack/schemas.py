@@ -38,3 +38,6 @@ BROWSER_TARGET = _of(targetId=_S, type=_S, title=_S, url=_S)
 REQUEST = _of(id=_L, target=_S, at=T.TimestampType())
 SCOPE = _of(creator=_S, platform=_S, series=_S, start=_DATE, end=_DATE, expected=_L, product=_S, boundary=_S, frequency=_S)
 COMPLETION_REPORT = _of(sources=_L, processed=_L, failed=_L, artifacts=_L, boundary=_S, cleaned=_L, update_path=_S)
+
+#: The tables that queries read.
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]

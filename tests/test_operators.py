@@ -263,3 +263,11 @@ def test_site_notes_are_bounded(spark, monkeypatch):
     notes = spark.createDataFrame([("mp.weixin.qq.com", "微信公众号|wechat mp", "b"), ("other.site", None, None)], "domain string, aliases string, body string")
     assert sorted(r["t"] for r in pages.site_match(texts, "t", notes).collect()) == ["WECHAT mp login", "mpXweixinXqqXcom", "打开微信公众号后台"]
     assert pages.site_match(texts, "t", notes.where("false")).count() == 0
+
+
+def test_texts_that_hold_passages(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "xa b c d e f gx and more"), (3, "b c d e"), (4, "short one"), (5, ""), (6, "a b c d e f x")], "id long, t string")
+    items = spark.createDataFrame([(1, "a b c d e f g"), (2, "c d e f g h i"), (3, "one"), (4, "d e"), (5, "b c d e f x")], "item long, p string")
+    got = {tuple(r) for r in textstyle.holding(docs, "id", "t", items, "item", "p").collect()}
+    assert got == {(r["id"], i["item"]) for r in docs.collect() for i in items.collect() if i["p"] in r["t"]}
+    assert textstyle.holding(docs, "id", "t", items.where("false"), "item", "p").count() == 0

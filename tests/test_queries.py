@@ -38,6 +38,14 @@ def test_missing_links_reads_all_orders(spark):
     assert len(rows) == len(pairs - linked)
 
 
+def test_tool_catalogue_describes_every_query(spark):
+    rows = {r["name"]: r for r in QUERIES["tool_catalogue"].run(spark, "").collect()}
+    assert set(rows) == set(QUERIES)
+    assert rows["port_files"]["inputs"] == ["supplier"]
+    assert rows["port_files"]["purpose"].startswith("A port file for each supplier")
+    assert all(r["purpose"] and r["operators"] for r in rows.values())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
