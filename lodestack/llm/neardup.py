@@ -233,29 +233,8 @@ def links_across(sets: DataFrame, percent: int) -> DataFrame:
     return stored(dealt.groupBy("g", "cut", "i", "p").applyInArrow(compare, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5, exact: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
-
-    Documents are linked if 100 * intersection >= percent * union of their sets
-    of distinct shingles (``size`` words; fewer words: the whole sequence).
-    component_id is the smallest doc_id reachable by links, itself included.
-    A null, empty or blank text has an empty set and no link.  Rows that share a
-    doc_id count as one document with several texts.  A row with a null doc_id
-    gets the component of its equals, or null, and isn't kept.  An empty table
-    gives no row; other columns are left out.  With ``exact`` no link is missed,
-    at the cost of a prefix join over all documents.
-    """
-    docs = docs_of(docs)
-    sig = stored(signatures(docs, size), "signatures")
-    # Stored, so that a set with many copies is a join side that Spark can split.
-    classes = stored(sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
-    member = stored(sig.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", F.coalesce("id", "doc_id").alias("id")), "members")
-    nodes = sig.join(classes.where("id IS NOT NULL").select(F.col("id").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
-    nodes = stored(nodes.dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("id"), "n", "mins"), "nodes")
-    release(sig, classes)
-    if not exact:
-        every, nodes = nodes, stored(shared_only(nodes), "nodes")
-        release(every)
+def _linked(docs: DataFrame, nodes: DataFrame, percent: int, size: int, exact: bool) -> DataFrame:
+    """id and component of the nodes (id, n, mins) that have links, in the three steps."""
     alone = nodes.withColumn("component", F.col("id"))
 
     # Step 1, in few tables.
@@ -287,6 +266,32 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5, exact: bo
         links = links.unionByName(links_across(left, percent))
         label = components(links)
         release(left)
+    return label
+
 
+def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5, exact: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
+
+    Documents are linked if 100 * intersection >= percent * union of their sets
+    of distinct shingles (``size`` words; fewer words: the whole sequence).
+    component_id is the smallest doc_id reachable by links, itself included.
+    A null, empty or blank text has an empty set and no link.  Rows that share a
+    doc_id count as one document with several texts.  A row with a null doc_id
+    gets the component of its equals, or null, and isn't kept.  An empty table
+    gives no row; other columns are left out.  With ``exact`` no link is missed,
+    at the cost of a prefix join over all documents.
+    """
+    docs = docs_of(docs)
+    sig = stored(signatures(docs, size), "signatures")
+    # Stored, so that a set with many copies is a join side that Spark can split.
+    classes = stored(sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("id")), "classes")
+    member = stored(sig.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", F.coalesce("id", "doc_id").alias("id")), "members")
+    nodes = sig.join(classes.where("id IS NOT NULL").select(F.col("id").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"], "left_semi")
+    nodes = stored(nodes.dropDuplicates(["doc_id", "d1", "d2"]).select(F.col("doc_id").alias("id"), "n", "mins"), "nodes")
+    release(sig, classes)
+    if not exact:
+        every, nodes = nodes, stored(shared_only(nodes), "nodes")
+        release(every)
+    label = _linked(docs, nodes, percent, size, exact) if not nodes.isEmpty() else nodes.select("id", F.col("id").alias("component"))
     out = member.join(label, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -224,9 +224,11 @@ def test_shingles_are_the_sets(edges):
 
 
 def test_near_duplicates_edges(edges, nothing):
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(edges).collect() if r["doc_id"] is not None}
+    rows = neardup.near_duplicates(edges.unionByName(edges.where("doc_id = 6").withColumn("doc_id", F.lit(None).cast("long")))).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows if r["doc_id"] is not None}
     assert got == brute_components([(i, t) for i, t in texts_of(edges) if i is not None])
-    assert neardup.near_duplicates(edges).count() == edges.count()
+    assert len(rows) == edges.count() + 1
+    assert sorted((tuple(r)[1:] for r in rows if r["doc_id"] is None), key=repr) == [(1, None, False), (6, 6, False)]  # its own, and the equal of document 6
     assert neardup.near_duplicates(nothing).count() == 0
 
 
