@@ -200,7 +200,7 @@ def long_bets(spark, sf):
 
 @query("FN-M7 FN-M9 FN-M13", """WITH l AS (SELECT l_partkey, sum(l_quantity) AS sold, sum(l_extendedprice) AS sales, count(*) FILTER (l_returnflag = 'R') AS bad, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT p_partkey, round(sales / sum(sales) OVER (), 9) AS chain_share, round(CASE WHEN p_size > 0 THEN p_retailprice / p_size END, 6) AS value_per_area, round(CASE WHEN sold > 0 THEN p_size / sold END, 6) AS stock_to_sales, round(bad / n, 6) AS defects, round(CASE WHEN sales - 1000 > 0 THEN p_retailprice / (sales - 1000) END, 6) AS payback,
- round(p_retailprice - sales / sold, 4) AS basis, round(p_retailprice + 5 - 0.8 * p_retailprice, 4) AS production_profit FROM part JOIN l ON l_partkey = p_partkey""")
+ round(p_retailprice - sales / sold, 2) AS basis, round(p_retailprice + 5 - 0.8 * p_retailprice, 3) AS production_profit FROM part JOIN l ON l_partkey = p_partkey""")
 def chain_ratios(spark, sf):
     """Shares, value per area, stock to sales, defects, payback, basis and production profit of each part that was sold."""
     l = table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("sold"), F.sum("l_extendedprice").alias("sales"), F.count_if(F.col("l_returnflag") == "R").alias("bad"), F.count("*").alias("n"))  # noqa: E741
@@ -208,7 +208,7 @@ def chain_ratios(spark, sf):
     p = table(spark, sf, "part").join(l, F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(total))  # one row
     price, size, sales, sold = F.col("p_retailprice"), F.col("p_size"), F.col("sales"), F.col("sold")
     r = lambda c, n, k=6: F.round(c, k).alias(n)
-    return p.select("p_partkey", r(fn.share(sales, F.col("total")), "chain_share", 9), r(fn.value_per_area(price, size), "value_per_area"), r(fn.stock_to_sales(size, sold), "stock_to_sales"), r(fn.share(F.col("bad"), F.col("n")), "defects"), r(fn.payback(price, sales - 1000), "payback"), r(fn.basis(price, sales / sold), "basis", 4), r(fn.production_profit(price, 0.8 * price, F.lit(5)), "production_profit", 4))
+    return p.select("p_partkey", r(fn.share(sales, F.col("total")), "chain_share", 9), r(fn.value_per_area(price, size), "value_per_area"), r(fn.stock_to_sales(size, sold), "stock_to_sales"), r(fn.share(F.col("bad"), F.col("n")), "defects"), r(fn.payback(price, sales - 1000), "payback"), r(fn.basis(price, sales / sold), "basis", 2), r(fn.production_profit(price, 0.8 * price, F.lit(5)), "production_profit", 3))
 
 
 @query("AGG-15", "WITH m AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS x, sum(o_totalprice) AS y FROM orders GROUP BY 1), s AS (SELECT sign(x - lag(x) OVER (ORDER BY m)) AS s, sign(lead(y) OVER (ORDER BY m) - y) AS o FROM m) SELECT count(*) AS n, count(*) FILTER (s = o) AS hits, round(count(*) FILTER (s = o) / nullif(count(*), 0), 6) AS rate FROM s WHERE s IS NOT NULL AND o IS NOT NULL AND s <> 0")
