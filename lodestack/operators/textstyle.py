@@ -54,16 +54,25 @@ def repetition(parts: Column) -> Column:
 
 
 def uniformity(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Coefficient of variation of paragraph lengths per text (AGG-21); null for one paragraph."""
-    p = df.select(key, F.explode(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")).alias("p")).withColumn("n", F.char_length("p"))
-    return p.groupBy(key).agg(F.count("*").alias("paragraphs"), F.try_divide(F.stddev_samp("n"), F.avg("n")).alias("variation"))
+    """Number of paragraphs of each text, and the coefficient of variation of their lengths (AGG-21); null for one paragraph.  A text without paragraphs has no row."""
+    p = df.select(key, F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""), lambda x: F.char_length(x).cast("double")).alias("p")).where(F.size("p") > 0)
+    p = p.withColumn("n", F.size("p")).withColumn("mean", F.aggregate("p", F.lit(0.0), lambda a, x: a + x) / F.col("n"))
+    squares = F.aggregate("p", F.lit(0.0), lambda a, x: a + (x - F.col("mean")) * (x - F.col("mean")))
+    return p.select(key, F.col("n").cast("long").alias("paragraphs"), F.when(F.col("n") > 1, F.try_divide(F.sqrt(squares / (F.col("n") - 1)), F.col("mean"))).alias("variation"))
 
 
 def entropy(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Shannon entropy in bits of blank-split tokens per text (FN-S20)."""
-    t = df.select(key, F.explode(tokens(F.col(text))).alias("t")).groupBy(key, "t").agg(F.count("*").alias("n"))
-    # H = log2(N) - sum(n log2 n) / N: one more grouping, no join.
-    return t.groupBy(key).agg((F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias("entropy"))
+    """Shannon entropy in bits of the blank-split tokens of each text (FN-S20); a text without tokens has no row.
+
+    H = log2(N) - sum(n * log2(n)) / N, over the runs of the sorted tokens: no row
+    is exploded or moved.
+    """
+    t = df.select(key, F.sort_array(tokens(F.col(text))).alias("t")).where(F.size("t") > 0)
+    part = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(0.0)
+    state = lambda last, n, total: F.struct(last.alias("last"), n.alias("n"), total.alias("total"))
+    step = lambda a, x: F.when(x == a["last"], state(a["last"], a["n"] + 1, a["total"])).otherwise(state(x, F.lit(1), a["total"] + part(a["n"])))
+    spent = F.aggregate("t", state(F.lit(None).cast("string"), F.lit(0), F.lit(0.0)), step, lambda a: a["total"] + part(a["n"]))
+    return t.select(key, (F.log2(F.size("t")) - spent / F.size("t")).alias("entropy"))
 
 
 def holding(docs: DataFrame, key: str, text: str, passages: DataFrame, item: str, passage: str, size: int = 4) -> DataFrame:
