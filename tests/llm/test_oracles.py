@@ -23,13 +23,17 @@ COLUMNS = {
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(name, same_rows):
-    same_rows(QUERIES[name], ORACLES[name])
+    def run(spark, sf):
+        df = QUERIES[name](spark, sf)
+        assert df.columns == COLUMNS[name]
+        return df
 
+    same_rows(run, ORACLES[name])
 
-@pytest.mark.parametrize("name", list(COLUMNS))
+
+@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in ORACLES])
 def test_columns_and_rows(name, spark):
     df = QUERIES[name](spark, SF)
     assert df.columns[: len(COLUMNS[name])] == COLUMNS[name]
     ids = [r[0] for r in df.select(df.columns[0]).distinct().collect()]
-    table = "embeddings" if name.startswith("op5") else "documents"
-    assert len(ids) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    assert len(ids) == spark.read.parquet(f"{SF}/documents.parquet").count()
