@@ -191,7 +191,7 @@ def cash_flow_value(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", F.round(fn.perpetuity(c, w), 4).alias("zero_growth"), F.round(fn.perpetuity(c, w, F.lit(0.02)), 4).alias("constant_growth"), F.round(fn.two_stage(c, w, F.lit(0.1), 3, F.lit(0.02)), 4).alias("two_stage"))
 
 
-@query("FN-M11 FN-M2", "SELECT o_orderkey, round(o_totalprice / pow(1.1, year(o_orderdate) - 1992), 2) AS present_value, round(0.2 * 3 - 0.05 * 2, 6) AS leveraged, round(o_totalprice * (1 - 0.4) - 50000, 2) AS worst_case FROM orders")
+@query("FN-M11 FN-M2", "SELECT o_orderkey, round(o_totalprice / pow(1.1, year(o_orderdate) - 1992), 2) AS present_value, round(CAST(0.2 * 3 - 0.05 * 2 AS DOUBLE), 6) AS leveraged, round(o_totalprice * (1 - 0.4) - 50000, 2) AS worst_case FROM orders")
 def long_bets(spark, sf):
     """Present value, leveraged return and worst case of each order."""
     v = F.col("o_totalprice")

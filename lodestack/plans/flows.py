@@ -9,6 +9,7 @@ from ..functions import strings
 from ..operators import classify, evolve
 from ..operators.tables import FIRST_HAND
 from ..session import table
+from ..sources.shared import scratch
 
 
 @query("AGG-11 D14", "SELECT user_id, md5(string_agg(event_type, ',' ORDER BY ts, event_type)) AS sequence_md5, count(DISTINCT event_type) AS distinct_tools FROM events GROUP BY 1")
@@ -138,3 +139,31 @@ def poll_status(spark, sf):
     waits = e.where("event_type = 'view'").select("event_id", "user_id", F.col("ts").alias("asked"))
     ready = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("done"))
     return polled(waits, ready, ["user_id"], "event_id", "asked", "done", 1800.0, 54000.0)
+
+
+@query("STR-2", "SELECT user_id AS id, CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 'answered' ELSE 'timeout' END AS status FROM events WHERE event_type IN ('view', 'purchase') GROUP BY 1 HAVING count(*) FILTER (event_type = 'view') > 0")
+def request_stream(spark, sf):
+    """Each user's views and purchases as a stream of requests and responses; later messages move the watermark on, so that what is pending times out."""
+    from ..streaming.correlate import match_stream
+    from ..streaming.intake import replayed
+
+    kind = strings.lookup({"view": "request", "purchase": "response"}, F.col("event_type"), "other")
+    messages = table(spark, sf, "events").where("event_type IN ('view', 'purchase')").select(F.col("user_id").alias("id"), kind.alias("kind"), F.col("ts").cast("timestamp").alias("at"))
+    later = [messages.groupBy().agg(F.lit(-1).cast("long").alias("id"), F.lit("response").alias("kind"), (F.max("at") + F.expr(f"INTERVAL {d} DAYS")).alias("at")).where("at IS NOT NULL") for d in (2, 4)]
+    out = replayed([messages, *later], scratch(spark, "requests"), lambda stream: match_stream(stream.withWatermark("at", "1 minute")))
+    return out.select("id", "status")
+
+
+@query("STR-4", """WITH e AS (SELECT user_id, ts, event_id, event_type, CAST(event_id % 7 AS INT) AS item FROM events WHERE event_type IN ('view', 'click', 'error')), z AS (SELECT user_id, max((ts, event_id)) FILTER (event_type = 'error') AS cut FROM e GROUP BY 1),
+i AS (SELECT user_id, item, max((ts, event_id)) FILTER (event_type = 'view') AS a, max((ts, event_id)) FILTER (event_type = 'click') AS d FROM e WHERE event_type <> 'error' GROUP BY 1, 2)
+SELECT z.user_id AS connection, count(*) FILTER (a IS NOT NULL AND (d IS NULL OR a > d) AND (cut IS NULL OR a > cut)) AS sessions FROM z LEFT JOIN i ON i.user_id = z.user_id GROUP BY 1""")
+def session_counts(spark, sf):
+    """Each user's open sessions at the end of a stream that arrives in two parts; state is kept for each connection, and emptied by a disconnect."""
+    from ..streaming.intake import replayed
+    from ..streaming.sessions import session_stream
+
+    e = table(spark, sf, "events").where("event_type IN ('view', 'click', 'error')")
+    rows = e.select(F.col("user_id").alias("connection"), F.col("ts").cast("timestamp").alias("at"), strings.lookup(_ROLES, F.col("event_type"), "other").alias("kind"), (F.col("event_id") % 7).cast("string").alias("item"))
+    half = F.lit(rows.agg(F.timestamp_seconds((F.unix_micros(F.min("at")) + F.unix_micros(F.max("at"))) / 2e6)).first()[0])
+    out = replayed([rows.where(F.col("at") < half), rows.where(F.col("at") >= half)], scratch(spark, "sessions"), lambda stream: session_stream(stream.withWatermark("at", "400 days"), 40_000_000_000))
+    return out.groupBy("connection").agg(F.max_by("sessions", "batch").alias("sessions"))

@@ -42,6 +42,17 @@ def demo_two_batches(spark: SparkSession, rows: DataFrame, key: str) -> DataFram
     return spark.read.parquet(target).groupBy("batch").agg(F.count("*").alias("items"), F.count_distinct(key).alias("distinct_items")).select(F.col("batch").cast("long").alias("batch"), "items", "distinct_items")
 
 
+def replayed(parts: list[DataFrame], at: str, transform) -> DataFrame:
+    """What ``transform`` of a stream gives over all, when the parts arrive one after another, each in a micro-batch of its own; with the number of the micro-batch."""
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{at}/in/{number}")
+        stream = spark.readStream.schema(schema).parquet(f"{at}/in/*")
+        put = lambda df, n, number=number: df.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{at}/out")
+        transform(stream).writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out")
+
+
 def daily_counts(events: DataFrame, at: str, delay: str = "1 day") -> DataFrame:
     """Daily counts by type with a watermark; a zone-less time is taken as UTC first, as watermarks need TIMESTAMP."""
     e = events.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay)
