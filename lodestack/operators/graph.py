@@ -28,14 +28,17 @@ def reachable(edges: DataFrame, steps: int | None = None) -> DataFrame:
     of steps rounds end when a pair more isn't found.
     """
     within, far, left, label = stored(edges.select("src", "dst").distinct(), "paths"), None, steps, "paths"
+    found = within.count() if steps is None else 0
     while left is None or left:
         if left is not None and left & 1:
             far = within if far is None else stored(_joined(far, within), label)
         left = left >> 1 if left is not None else None
         if left != 0:
             longer = stored(_joined(within, within), label)
-            if left is None and longer.count() == within.count():
-                return longer
+            if left is None:
+                before, found = found, longer.count()
+                if found == before:
+                    return longer
             within = longer
     return far if far is not None else within.limit(0)
 

@@ -56,3 +56,34 @@ def test_entropy_and_attribution(spark):
 def test_cleanable(spark):
     a = spark.createDataFrame([(1, 10), (2, 20)], "k int, length int")
     assert [r["k"] for r in sinks.cleanable(a, a.where("k = 2").select("k"), "k").collect()] == [2]
+
+
+def test_stored_tables_are_released(spark):
+    from pathlib import Path
+
+    from lodestack.sources import shared
+
+    t = shared.stored(spark.range(3), "some")
+    path = Path(t._stored_at)
+    assert t.count() == 3
+    assert path.is_dir()
+    shared.release(t, spark.range(1))  # a table that isn't stored is left alone
+    assert not path.exists()
+    assert str(path) not in shared._WRITTEN
+
+
+def test_no_shared_folder_is_an_error_on_a_cluster():
+    from unittest.mock import MagicMock
+
+    import pytest
+
+    from lodestack.sources import shared
+
+    cluster = MagicMock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.getCheckpointDir.return_value = None
+    cluster.sparkContext._jsc.sc.return_value.isLocal.return_value = False
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_dir(cluster)
+    cluster.conf.get.return_value = "hdfs:///shared/"
+    assert shared.shared_dir(cluster) == "hdfs:///shared"
